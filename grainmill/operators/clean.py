@@ -150,7 +150,7 @@ def parse(lines: DataFrame, rules: Rules | None = None, text: str = "value") ->
         .when(bad_url, "bad_url")
     )
     canonical = lambda c: without_query(rewritten(c, rules.rewrites))
-    return decoded.select(
+    record = F.struct(
         "line",
         "path",
         reason.alias("reason"),
@@ -174,6 +174,9 @@ def parse(lines: DataFrame, rules: Rules | None = None, text: str = "value") ->
         "hot",
         "click",
     )
+    # Inlining a one-record array keeps later filters above the parse: pushed below it, every
+    # predicate would repeat the expressions of all the columns it mentions.
+    return decoded.select(F.inline(F.array(record)))
 
 
 def mark_tracked(parsed: DataFrame, sites: DataFrame) -> DataFrame:
@@ -238,7 +241,9 @@ def route(parsed: DataFrame) -> DataFrame:
         F.transform(_hot_points(), lambda p: tag("hot", p["x"], p["y"], p["u"])),
     )
     empty = F.array().cast("array<struct<kind:string,x:string,y:string,u:string>>")
-    tagged = parsed.withColumn("r", F.explode(F.concat(plain, F.coalesce(points, empty))))
+    # The outer form: no filter on the array's size is derived, which would parse it twice.
+    tagged = parsed.withColumn("r", F.explode_outer(F.concat(plain, F.coalesce(points, empty))))
+    tagged = tagged.where(F.col("r").isNotNull())
     names = dict.fromkeys(c for s in STREAMS.values() for c in s.names if c not in "xyu")
     return tagged.select("r.kind", *names, "r.x", "r.y", "r.u")
 

@@ -44,8 +44,7 @@ def members(
 
     ``first`` is the column whose nulls a page-view count skips. Columns: ``rows`` (all hits),
     ``views`` (hits with a first column), each also for returning hits (``ret_``) and, with
-    ``area``, for hits outside the home network (``oth_``, ``oth_ret_``); ``lone*`` is what the
-    singleton test looks at: the hits here, the surviving finer singletons on coarser grains.
+    ``area``, for hits outside the home network (``oth_``, ``oth_ret_``).
     """
     flags = {"ret": F.col("new").isNull()}
     if area:
@@ -57,33 +56,47 @@ def members(
         *[f.alias(name) for name, f in flags.items()],
         *[F.col(i).alias(f"id_{i}") for i in ids],
     )
+    fixed = [c for c in flat.columns if not c.startswith("id_")]
     if len(ids) == 1:
-        flat = flat.withColumn("kind", F.lit(ids[0])).withColumnRenamed(f"id_{ids[0]}", "id")
+        flat = flat.select(*fixed, F.lit(ids[0]).alias("kind"), F.col(f"id_{ids[0]}").alias("id"))
     else:
-        fixed = [c for c in flat.columns if not c.startswith("id_")]
-        flat = flat.unpivot(fixed, [f"id_{i}" for i in ids], "kind", "id")
-        flat = flat.withColumn("kind", F.substr(F.col("kind"), F.lit(4)))
+        # A generator, not an unpivot: the plans of two reports compare equal only with this one,
+        # and then share the exchange.
+        pairs = [x for i in ids for x in (F.lit(i), F.col(f"id_{i}"))]
+        flat = flat.select(*fixed, F.stack(F.lit(len(ids)), *pairs).alias("kind", "id"))
     counts = [F.count(F.lit(1)).alias("rows"), _count(F.col("seen")).alias("views")]
     for name in flags:
         counts.append(_count(F.col(name)).alias(f"{name}_rows"))
         counts.append(_count(F.col(name) & F.col("seen")).alias(f"{name}_views"))
-    counted = flat.groupBy(*keys, "kind", "id").agg(*counts)
-    return counted.withColumns(
-        {"lone": F.col("rows"), **{f"{n}_lone": F.col(f"{n}_rows") for n in flags}}
-    )
+    return flat.groupBy(*keys, "kind", "id").agg(*counts)
 
 
 def _flag_names(frame: DataFrame) -> list[str]:
     return [n for n in ("ret", "oth", "oth_ret") if f"{n}_rows" in frame.columns]
 
 
+def _singleton_test(frame: DataFrame, cascade: bool = True) -> str:
+    return "lone" if cascade and "lone" in frame.columns else "rows"
+
+
 def coarsen(finer: DataFrame, keys: list[str]) -> DataFrame:
-    """Members of a coarser grain; ``lone`` counts the finer grain's surviving singletons."""
+    """Members of a coarser grain, with ``lone``: the finer grain's surviving singletons.
+
+    Reports of the two grains read the same columns of ``finer`` in the same order, which lets
+    Spark reuse its exchange.
+    """
     names = ["", *[f"{n}_" for n in _flag_names(finer)]]
-    sums = [F.sum(f"{n}{c}").alias(f"{n}{c}") for n in names for c in ("rows", "views")]
-    survives = F.col("lone") == 1
-    lone = [F.coalesce(F.sum(F.when(survives, F.col(f"{n}lone"))), F.lit(0)).alias(f"{n}lone") for n in names]
-    return finer.groupBy(*keys, "kind", "id").agg(*sums, *lone)
+    test = _singleton_test(finer)
+    survives = F.col(test) == 1
+    out = []
+    for n in names:
+        lone = F.sum(F.when(survives, F.col(f"{n}{test}")).otherwise(0))
+        out += [
+            F.sum(f"{n}rows").alias(f"{n}rows"),
+            F.sum(f"{n}views").alias(f"{n}views"),
+            lone.alias(f"{n}lone"),
+        ]
+    return finer.groupBy(*keys, "kind", "id").agg(*out)
 
 
 def tally(
@@ -91,11 +104,13 @@ def tally(
     keys: list[str],
     parts: tuple[str, ...] = ("traffic",),
     cascade: bool = False,
+    present: str | None = None,
 ) -> DataFrame:
     """Counts per grain out of its members.
 
     ``parts``: ``traffic`` (views, visitors, addresses), ``bounce`` (visitors with one hit, or with
     ``cascade`` one surviving finer singleton), ``loyalty`` (visitors by number of views).
+    ``present`` drops groups in which that key is null.
     """
     visitor = F.col("kind") == VISITOR
     address = F.col("kind") == ADDRESS
@@ -109,7 +124,7 @@ def tally(
         if "traffic" in parts:
             out.append(_count(address & known & (F.col(f"{n}rows") > 0)).alias(f"{n}ip"))
         if "bounce" in parts or "loyalty" in parts:
-            test = "lone" if cascade else "rows"
+            test = _singleton_test(frame, cascade)
             out.append(
                 _count(visitor & (F.col(test) == 1) & (F.col(f"{n}{test}") == 1)).alias(f"{n}bc")
             )
@@ -118,7 +133,12 @@ def tally(
         for name, low, high in LOYALTY[1:]:
             inside = views >= low if high is None else views.between(low, high)
             out.append(_count(visitor & inside).alias(f"loty_{name}_count"))
-    return _by_subtraction(frame.groupBy(*keys).agg(*out), keys)
+    if present is None:
+        return _by_subtraction(frame.groupBy(*keys).agg(*out), keys)
+    # Tested on an aggregate: a filter on the key would sink below the members' exchange and keep
+    # it from being shared with the coarser grains.
+    counts = frame.groupBy(*keys).agg(*out, F.max(F.col(present).isNotNull()).alias("present"))
+    return _by_subtraction(counts.where("present"), keys)
 
 
 def _by_subtraction(counts: DataFrame, keys: list[str]) -> DataFrame:

@@ -498,7 +498,7 @@ _CLEAN_SELECTS = {
     "ad_dwell": "select domain, adsid, new, case when fault in (35,37) then null else page_avg_time end as page_avg_time, vtime "
     "from l where reason is null and not is_mark and is_close and adsid is not null",
     "hot": "select domain, page, x, y, u, vtime from l where reason is null and not is_mark and k%3=0 union all "
-    "select domain, page, x || '.5' as x, x as y, null as u, vtime from l where reason is null and not is_mark and k%3=0",
+    "select domain, page, l.y || '.5' as x, l.x as y, null as u, vtime from l where reason is null and not is_mark and k%3=0",
     "click_marks": "select page, click, vtime from l where reason is null and is_mark and fault<>31",
 }
 for _kind, _select in _CLEAN_SELECTS.items():
@@ -533,7 +533,7 @@ def clean_rejects(spark, d):
 @register(
     "clean_to_site_traffic",
     f"{_clean_base()}, h as (select *, replace(substr(vtime,1,10),'-','') as period from ({_CLEAN_SELECTS['hits']})) "
-    + o.traffic("h", "period, domain, province").replace("select period, domain, province, pv", "select period, domain, province, pv", 1),
+    + o.traffic("h", "period, domain, province"),
 )
 def clean_to_site_traffic(spark, d):
     hits = with_period(clean.stream(_cleaned(spark, d), "hits"))
@@ -766,7 +766,7 @@ def ratio_points(spark, d):
     "array_functions",
     f"{o.base('hits')}, g as (select period, domain, wid, list(kw order by kw) as kws, list(new) as news, count(*) as n from hits group by all) "
     "select period, domain, wid, n=1 as single, n between 2 and 4 as few, kws[1] as first_kw, "
-    "len(list_filter(news, v -> v is not null))=0 as all_returning from g",
+    "len(list_filter(news, lambda v: v is not null))=0 as all_returning from g",
 )
 def array_functions(spark, d):
     grouped = fx.hits(spark, d).groupBy("period", "domain", "wid")

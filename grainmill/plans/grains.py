@@ -121,9 +121,7 @@ def _prepared(df: DataFrame, family: Family, channel: str | None) -> DataFrame:
 
 def _labelled(df: DataFrame, family: Family, level: Level) -> DataFrame:
     """Give every level the key columns of the finest one; rolled-up keys are empty text."""
-    if level.present:
-        df = df.where(F.col(level.present).isNotNull())
-    measures = [c for c in df.columns if c not in ("period", *family.keys)]
+    measures = [c for c in df.columns if c not in ("period", "present", *family.keys)]
     keys = [F.col(k) if k in level.keys else F.lit("").alias(k) for k in family.keys]
     return df.select("period", F.lit(level.name).alias("level"), *keys, *measures)
 
@@ -154,7 +152,7 @@ def visitor_cells(
             frame = m.members(prepared, keys, ids, first, area)
         else:
             frame = m.coarsen(frame, keys)
-        counts = m.tally(frame, keys, parts, level.cascade)
+        counts = m.tally(frame, keys, parts, level.cascade, level.present)
         if "bounce" in parts:
             counts = m.bounce_rates(counts, rates)
         if "loyalty" in parts:
@@ -175,7 +173,7 @@ def dwell_cells(
     area = family.area if area is None else area
     keys = ["period", *family.keys]
     sums = dwell_ops.dwell_sums(_prepared(dwell, family, channel), keys, area)
-    if len(family.levels) == 1:
+    if len(family.levels) == 1 and not family.levels[0].present:
         return _labelled(dwell_ops.averages(sums, form), family, family.levels[0])
     sets = [["period", *level.keys] for level in family.levels]
     rolled = dwell_ops.roll_sums(sums, sets, keys)
