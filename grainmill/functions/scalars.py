@@ -32,6 +32,24 @@ def after_equals(c: Column | str) -> Column:
     return F.substr(c, F.instr(c, "=") + F.lit(1))
 
 
+def whole_number(c: Column | str, kind: str = "int") -> Column:
+    """Integer text as a number, else null.
+
+    The pattern comes first because a failing cast raises and catches an exception for its row.
+    """
+    c = col(c)
+    return F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), c).try_cast(kind)
+
+
+def last_piece(text: Column | str, sep: str, mark: str) -> Column:
+    """The last piece of a separated text that contains the mark; empty text without any."""
+    text = col(text)
+    after = F.substring_index(text, mark, -1)
+    before = F.left(text, F.length(text) - F.length(after) - F.lit(len(mark)))
+    piece = F.concat(F.substring_index(before, sep, -1), F.lit(mark), F.substring_index(after, sep, 1))
+    return F.when(F.contains(text, F.lit(mark)), piece).otherwise(F.lit(""))
+
+
 # ---- keys ------------------------------------------------------------------------------------
 
 
@@ -77,8 +95,13 @@ def root_of(c: Column | str) -> Column:
     )
 
 
+def host_text(url: Column | str) -> Column:
+    """Host part of a URL, with or without a scheme; empty text when there is none."""
+    return F.regexp_extract(col(url), r"^(?:https?://)?([^/]+)", 1)
+
+
 def host_of(url: Column | str) -> Column:
-    return or_default(F.regexp_extract(col(url), r"^(?:https?://)?([^/]+)", 1), "-")
+    return or_default(host_text(url), "-")
 
 
 def without_query(url: Column | str) -> Column:
@@ -87,7 +110,9 @@ def without_query(url: Column | str) -> Column:
 
 def url_decoded(c: Column | str) -> Column:
     """Percent-decoded text; null when the text is not validly encoded."""
-    return F.try_url_decode(col(c))
+    c = col(c)
+    plain = ~(F.contains(c, F.lit("%")) | F.contains(c, F.lit("+")))
+    return F.when(plain, c).otherwise(F.try_url_decode(c))
 
 
 def rewritten(url: Column | str, rules: list[tuple[str, str]]) -> Column:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.scalars import ip_number
+from ..functions.scalars import ip_number, whole_number
 from ..operators.clean import Rules
 from ..operators.periods import period_of
 from ..schemas import STREAMS
@@ -22,9 +22,15 @@ def period_path(root: str, period: str, hour_prefix: str = "") -> str:
     raise ValueError(f"not a day or an hour: {period}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for an input of a few unsplittable files; any wider input is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_log(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw beacon lines as ``value``; paths may be files, folders or globs."""
-    return spark.read.text(list(paths))
+    return spread(spark.read.text(list(paths)))
 
 
 def delimited(
@@ -44,7 +50,15 @@ def delimited(
         .option("encoding", encoding)
         .csv(path)
     )
-    return rows.select(*[F.nullif(f.name, F.lit("")).try_cast(f.dataType).alias(f.name) for f in schema])
+    return rows.select(*[_typed(f).alias(f.name) for f in schema])
+
+
+def _typed(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.StringType):
+        return F.nullif(field.name, F.lit(""))
+    if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+        return whole_number(field.name, field.dataType.simpleString())
+    return F.col(field.name).try_cast(field.dataType)
 
 
 def lines(spark: SparkSession, path: str, column: str = "url") -> DataFrame:
