@@ -21,8 +21,7 @@ HOT_ROWS = 4_000_000
 def range_pieces(ranges: DataFrame) -> DataFrame:
     """Disjoint pieces of the ranges inside /16 buckets.
 
-    Where ranges overlap, the one that begins last before an address decides, also when it has
-    already ended there.
+    The ranges of a dictionary do not overlap. Should some do, an address still finds at most one.
     """
     bucket = F.explode(
         F.sequence(F.shiftright("begin_ip", 16), F.shiftright("end_ip", 16))
