@@ -130,25 +130,24 @@ def rewritten(url: Column | str, rules: list[tuple[str, str]]) -> Column:
 # ---- ratios ----------------------------------------------------------------------------------
 
 
-def ratio32(numerator: Column | str, denominator: Column | str) -> Column:
-    """32-bit ratio; null when the denominator is zero."""
-    denominator = F.nullif(col(denominator), F.lit(0))
-    return (col(numerator).cast("float") / denominator.cast("float")).cast("float")
+# Numerators and denominators are column names or SQL expressions: a report has dozens of ratios,
+# and one parsed expression each builds its plan several times faster than chained Column calls.
 
 
-def ratio_points(ratio: Column) -> Column:
-    """Ratio in basis points, rounded half up in 32-bit arithmetic."""
-    scaled = ratio.cast("float") * F.lit(10000).cast("float")
-    return F.floor(scaled.cast("double") + F.lit(0.5)).cast("long")
+def _ratio32(numerator: str, denominator: str) -> str:
+    """32-bit ratio; null when the denominator is zero."""
+    return f"cast(cast({numerator} as float) / cast(nullif({denominator}, 0) as float) as float)"
 
 
-def basis_points(numerator: Column | str, denominator: Column | str) -> Column:
-    return ratio_points(ratio32(numerator, denominator))
+def basis_points(numerator: str, denominator: str) -> Column:
+    """Ratio in basis points, rounded half up in 32-bit arithmetic."""
+    scaled = f"{_ratio32(numerator, denominator)} * cast(10000 as float)"
+    return F.expr(f"cast(floor(cast({scaled} as double) + 0.5) as bigint)")
 
 
-def percent_text(numerator: Column | str, denominator: Column | str) -> Column:
-    scaled = ratio32(numerator, denominator) * F.lit(100).cast("float")
-    return F.concat(scaled.cast("string"), F.lit("%"))
+def percent_text(numerator: str, denominator: str) -> Column:
+    scaled = f"{_ratio32(numerator, denominator)} * cast(100 as float)"
+    return F.expr(f"concat(cast({scaled} as string), '%')")
 
 
 def whole_quotient(numerator: Column | str, denominator: Column | str) -> Column:

@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.scalars import duration_text, whole_quotient
+from ..functions.scalars import duration_text
 
 
-def _slices(area: bool) -> dict[str, Column | None]:
-    ret = F.col("new").isNull()
-    new = F.col("new").isNotNull()
-    slices: dict[str, Column | None] = {"": None, "ret": ret, "new": new}
+def _slices(area: bool) -> dict[str, str]:
+    slices = {"": "true", "ret": "new is null", "new": "new is not null"}
     if area:
-        for name, where in (("other", F.col("area").isNull()), ("china", F.col("area").isNotNull())):
-            slices |= {f"{name}_": where, f"{name}_ret": where & ret, f"{name}_new": where & new}
+        for name, where in (("other", "area is null"), ("china", "area is not null")):
+            slices |= {
+                f"{name}_": where,
+                f"{name}_ret": f"{where} and new is null",
+                f"{name}_new": f"{where} and new is not null",
+            }
     return slices
 
 
 def dwell_sums(dwell: DataFrame, keys: list[str], area: bool = False) -> DataFrame:
     """Sum and count per grain and slice; these add up over coarser grains."""
-    out: list[Column] = []
+    out = []
     for name, where in _slices(area).items():
-        value = F.col("page_avg_time")
-        if where is not None:
-            value = F.when(where, value)
-        out += [F.sum(value).alias(f"sum_{name}"), F.count(value).alias(f"cnt_{name}")]
-    return dwell.groupBy(*keys).agg(*out)
+        value = "page_avg_time" if where == "true" else f"case when {where} then page_avg_time end"
+        out += [f"sum({value}) as sum_{name}", f"count({value}) as cnt_{name}"]
+    return dwell.groupBy(*keys).agg(*map(F.expr, out))
 
 
 def roll_sums(sums: DataFrame, sets: list[list[str]], keys: list[str]) -> DataFrame:
@@ -40,19 +40,13 @@ def roll_sums(sums: DataFrame, sets: list[list[str]], keys: list[str]) -> DataFr
 def averages(sums: DataFrame, form: str = "long") -> DataFrame:
     """Replace sums by averages.
 
-    ``long``: truncated average; ``clock``: rounded average as HH:mm:ss; ``whole_clock``: integer
-    quotient as HH:mm:ss. An empty slice gives null.
+    ``long``: truncated average; ``clock``: rounded average as HH:mm:ss. An empty slice gives null.
     """
     names = [c.removeprefix("sum_") for c in sums.columns if c.startswith("sum_")]
-    cells: list[Column] = []
+    cells = []
     for name in names:
-        total, n = F.col(f"sum_{name}"), F.col(f"cnt_{name}")
-        mean = total.cast("double") / F.nullif(n, F.lit(0))
-        value = {
-            "long": lambda: mean.cast("long"),
-            "clock": lambda: duration_text(mean),
-            "whole_clock": lambda: duration_text(whole_quotient(total, n)),
-        }[form]()
+        mean = F.expr(f"cast(sum_{name} as double) / nullif(cnt_{name}, 0)")
+        value = mean.cast("long") if form == "long" else duration_text(mean)
         cells.append(value.alias(f"{name}avgtime"))
     others = [c for c in sums.columns if not c.startswith(("sum_", "cnt_"))]
     return sums.select(*others, *cells)

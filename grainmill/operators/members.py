@@ -12,7 +12,7 @@ again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import basis_points, percent_text
 
@@ -29,10 +29,6 @@ LOYALTY = [
 ]
 
 
-def _count(condition: Column) -> Column:
-    return F.count(F.when(condition, F.lit(1)))
-
-
 def members(
     hits: DataFrame,
     keys: list[str],
@@ -64,11 +60,10 @@ def members(
         # and then share the exchange.
         pairs = [x for i in ids for x in (F.lit(i), F.col(f"id_{i}"))]
         flat = flat.select(*fixed, F.stack(F.lit(len(ids)), *pairs).alias("kind", "id"))
-    counts = [F.count(F.lit(1)).alias("rows"), _count(F.col("seen")).alias("views")]
+    counts = ["count(1) as rows", "count_if(seen) as views"]
     for name in flags:
-        counts.append(_count(F.col(name)).alias(f"{name}_rows"))
-        counts.append(_count(F.col(name) & F.col("seen")).alias(f"{name}_views"))
-    return flat.groupBy(*keys, "kind", "id").agg(*counts)
+        counts += [f"count_if({name}) as {name}_rows", f"count_if({name} and seen) as {name}_views"]
+    return flat.groupBy(*keys, "kind", "id").agg(*map(F.expr, counts))
 
 
 def _flag_names(frame: DataFrame) -> list[str]:
@@ -85,18 +80,15 @@ def coarsen(finer: DataFrame, keys: list[str]) -> DataFrame:
     Reports of the two grains read the same columns of ``finer`` in the same order, which lets
     Spark reuse its exchange.
     """
-    names = ["", *[f"{n}_" for n in _flag_names(finer)]]
     test = _singleton_test(finer)
-    survives = F.col(test) == 1
     out = []
-    for n in names:
-        lone = F.sum(F.when(survives, F.col(f"{n}{test}")).otherwise(0))
+    for n in ["", *[f"{n}_" for n in _flag_names(finer)]]:
         out += [
-            F.sum(f"{n}rows").alias(f"{n}rows"),
-            F.sum(f"{n}views").alias(f"{n}views"),
-            lone.alias(f"{n}lone"),
+            f"sum({n}rows) as {n}rows",
+            f"sum({n}views) as {n}views",
+            f"sum(case when {test} = 1 then {n}{test} else 0 end) as {n}lone",
         ]
-    return finer.groupBy(*keys, "kind", "id").agg(*out)
+    return finer.groupBy(*keys, "kind", "id").agg(*map(F.expr, out))
 
 
 def tally(
@@ -112,27 +104,22 @@ def tally(
     ``cascade`` one surviving finer singleton), ``loyalty`` (visitors by number of views).
     ``present`` drops groups in which that key is null.
     """
-    visitor = F.col("kind") == VISITOR
-    address = F.col("kind") == ADDRESS
-    known = F.col("id").isNotNull()
-    names = ["", *[f"{n}_" for n in _flag_names(frame)]]
-    out: list[Column] = []
-    for n in names:
-        out.append(F.sum(F.when(visitor, F.col(f"{n}views")).otherwise(0)).alias(f"{n}pv"))
+    visitor, address = f"kind = '{VISITOR}'", f"kind = '{ADDRESS}'"
+    test = _singleton_test(frame, cascade)
+    out = []
+    for n in ["", *[f"{n}_" for n in _flag_names(frame)]]:
+        out.append(f"sum(case when {visitor} then {n}views else 0 end) as {n}pv")
         if "traffic" in parts or "loyalty" in parts:
-            out.append(_count(visitor & known & (F.col(f"{n}rows") > 0)).alias(f"{n}uv"))
+            out.append(f"count_if({visitor} and id is not null and {n}rows > 0) as {n}uv")
         if "traffic" in parts:
-            out.append(_count(address & known & (F.col(f"{n}rows") > 0)).alias(f"{n}ip"))
+            out.append(f"count_if({address} and id is not null and {n}rows > 0) as {n}ip")
         if "bounce" in parts or "loyalty" in parts:
-            test = _singleton_test(frame, cascade)
-            out.append(
-                _count(visitor & (F.col(test) == 1) & (F.col(f"{n}{test}") == 1)).alias(f"{n}bc")
-            )
+            out.append(f"count_if({visitor} and {test} = 1 and {n}{test} = 1) as {n}bc")
     if "loyalty" in parts:
-        views = F.col("views")
         for name, low, high in LOYALTY[1:]:
-            inside = views >= low if high is None else views.between(low, high)
-            out.append(_count(visitor & inside).alias(f"loty_{name}_count"))
+            inside = f"views >= {low}" if high is None else f"views between {low} and {high}"
+            out.append(f"count_if({visitor} and {inside}) as loty_{name}_count")
+    out = [F.expr(x) for x in out]
     if present is None:
         return _by_subtraction(frame.groupBy(*keys).agg(*out), keys)
     # Tested on an aggregate: a filter on the key would sink below the members' exchange and keep
@@ -143,24 +130,22 @@ def tally(
 
 def _by_subtraction(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Rename to the result cells and add new = all - returning, china = all - other."""
-    measures = [m for m in ("pv", "uv", "ip", "bc") if m in counts.columns]
-    area = "oth_pv" in counts.columns
-    cells: list[Column] = []
-    for m in measures:
-        every, ret = F.col(m), F.col(f"ret_{m}")
-        cells += [every, ret.alias(f"ret{m}"), (every - ret).alias(f"new{m}")]
-        if area:
-            oth, oth_ret = F.col(f"oth_{m}"), F.col(f"oth_ret_{m}")
+    cells = []
+    for m in ("pv", "uv", "ip", "bc"):
+        if m not in counts.columns:
+            continue
+        cells += [m, f"ret_{m} as ret{m}", f"{m} - ret_{m} as new{m}"]
+        if "oth_pv" in counts.columns:
             cells += [
-                oth.alias(f"other_{m}"),
-                oth_ret.alias(f"other_ret{m}"),
-                (oth - oth_ret).alias(f"other_new{m}"),
-                (every - oth).alias(f"china_{m}"),
-                (ret - oth_ret).alias(f"china_ret{m}"),
-                ((every - ret) - (oth - oth_ret)).alias(f"china_new{m}"),
+                f"oth_{m} as other_{m}",
+                f"oth_ret_{m} as other_ret{m}",
+                f"oth_{m} - oth_ret_{m} as other_new{m}",
+                f"{m} - oth_{m} as china_{m}",
+                f"ret_{m} - oth_ret_{m} as china_ret{m}",
+                f"({m} - ret_{m}) - (oth_{m} - oth_ret_{m}) as china_new{m}",
             ]
     rest = [c for c in counts.columns if c.startswith("loty_")]
-    return counts.select(*keys, *cells, *rest)
+    return counts.selectExpr(*keys, *cells, *rest)
 
 
 def bounce_rates(counts: DataFrame, form: str = "points") -> DataFrame:
@@ -186,8 +171,8 @@ def loyalty_cells(counts: DataFrame, form: str = "points") -> DataFrame:
     null. The other rates follow ``form``.
     """
     ratio = {"points": basis_points, "percent": percent_text}[form]
-    one = F.when(F.col("bc") > 0, F.col("bc"))
-    cells = {"loty_1_count": one, "loty_1_rate": percent_text(one, "uv")}
+    one = "nullif(bc, 0)"
+    cells = {"loty_1_count": F.expr(one), "loty_1_rate": percent_text(one, "uv")}
     for name, _, _ in LOYALTY[1:]:
         cells[f"loty_{name}_rate"] = ratio(f"loty_{name}_count", "uv")
     return counts.withColumns(cells)

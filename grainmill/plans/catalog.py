@@ -764,23 +764,40 @@ def ratio_points(spark, d):
 
 @register(
     "array_functions",
-    f"{o.base('hits')}, g as (select period, domain, wid, list(kw order by kw) as kws, list(new) as news, count(*) as n from hits group by all) "
-    "select period, domain, wid, n=1 as single, n between 2 and 4 as few, kws[1] as first_kw, "
-    "len(list_filter(news, lambda v: v is not null))=0 as all_returning from g",
+    f"{o.base('hits')} select seq, len(string_split(ref,'/'))=1 as single, "
+    "len(string_split(page,'/')) between 4 and 5 as few, string_split(ref,'/')[1] as first_part, "
+    "new is null and se is null as no_source, "
+    "concat(period, chr(26), domain) as first_head from hits",
 )
 def array_functions(spark, d):
-    grouped = fx.hits(spark, d).groupBy("period", "domain", "wid")
-    # One visitor's rows are not collected: only distinct keywords and the group size are kept.
-    cells = grouped.agg(F.count(F.lit(1)).alias("n"), F.collect_set("kw").alias("kws"), F.collect_set(F.col("new").cast("string")).alias("news"))
-    return cells.select(
-        "period", "domain", "wid",
-        (F.col("n") == 1).alias("single"),
-        F.col("n").between(2, 4).alias("few"),
-        sc.first_text(F.array_sort("kws")).alias("first_kw"),
-        sc.array_blank("news").alias("all_returning"),
+    e = fx.events(spark, d).where(f"not ({fx.IS_CLOSE})").withColumnRenamed("event_id", "seq")
+    names = {c: F.expr(fx.EXPRESSIONS[c].replace("event_id", "seq")) for c in ("ref", "page", "new", "se", "domain")}
+    hits = with_period(e.withColumns(names), "day", "ts")
+    return hits.select(
+        "seq",
+        sc.size_is(F.split("ref", "/"), 1).alias("single"),
+        sc.size_between(F.split("page", "/"), 4, 5).alias("few"),
+        sc.first_text(F.split("ref", "/")).alias("first_part"),
+        sc.array_blank(F.array(F.col("new").cast("string"), F.col("se"))).alias("no_source"),
+        sc.first_key_head(F.array(sc.row_key("period", "domain", "page"))).alias("first_head"),
     )
 
 
+def _added(rows: DataFrame, suffix: str) -> DataFrame:
+    """A relation macro: sum of two columns as text with a parameter behind it."""
+    total = (F.col("x") + F.col("y")).cast("string")
+    return rows.select("event_id", F.concat(total, F.lit(suffix)).alias("added"))
+
+
+@register(
+    "relation_macro",
+    "select event_id, cast(event_id%97 + user_id as string) || '20140220' as added from events",
+)
+def relation_macro(spark, d):
+    rows = fx.table(spark, d, "events").selectExpr("event_id", "event_id%97 as x", "user_id as y")
+    return rows.transform(_added, "20140220")
+
+
 # ---- joins, merges and group sizes -----------------------------------------------------------
 
 

@@ -116,3 +116,12 @@ def text_ranges(df: DataFrame) -> DataFrame:
     return df.select(
         ip_number("begin_ip").alias("begin_ip"), ip_number("end_ip").alias("end_ip"), "country", "area"
     )
+
+
+def ip_ranges(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """The address dictionary from delimited text: begin, end, country, area.
+
+    A dictionary in GBK needs ``spark.sql.legacy.javaCharsets=true`` in the session.
+    """
+    names = T.StructType([T.StructField(n, T.StringType()) for n in ("begin_ip", "end_ip", "country", "area")])
+    return text_ranges(delimited(spark, path, names, sep, encoding))

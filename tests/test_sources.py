@@ -42,8 +42,8 @@ def test_ranges_in_another_charset(spark, tmp_path):
     path = write(tmp_path / "r", "1.0.0.0,1.0.0.9,广东省,电信\n", "gbk")
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     try:
-        raw = readers.delimited(spark, path, schemas.struct("begin_ip end_ip country area"), ",", "GBK")
-        assert tuple(readers.text_ranges(raw).first()) == (16777216, 16777225, "广东省", "电信")
+        ranges = readers.ip_ranges(spark, path, encoding="GBK")
+        assert tuple(ranges.first()) == (16777216, 16777225, "广东省", "电信")
     finally:
         spark.conf.unset("spark.sql.legacy.javaCharsets")
 
