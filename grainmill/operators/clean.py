@@ -80,17 +80,21 @@ def parameter(query: Column, name: str) -> Column:
 
 
 def parse_hot(text: Column | str) -> Column:
-    """Click coordinates from JSON text whose names and values may lack quotes."""
+    """Click coordinates from JSON text whose names and values may lack quotes.
+
+    Text that starts with a bare name goes straight to the lenient reading; the strict one would
+    fail on it, which costs an exception per line.
+    """
     text = col(text)
-    strict = F.from_json(text, HOT_TYPE, {"allowSingleQuotes": "true"})
-    quoted = F.regexp_replace(text, r"([{,]\s*)([A-Za-z_]\w*)\s*:", '$1"$2":')
-    # Bare numbers keep no trailing zeros.
-    quoted = F.regexp_replace(quoted, r"(:\s*-?\d+)\.0*(?=\s*[,}])", "$1")
-    quoted = F.regexp_replace(quoted, r"(:\s*-?\d+\.\d*?[1-9])0+(?=\s*[,}])", "$1")
+    bare = text.rlike(r"^\s*\[\s*\{\s*[A-Za-z_]")
+    options = {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"}
+    # Bare numbers keep no trailing zeros; then every bare value but null becomes text.
+    quoted = F.regexp_replace(text, r"(:\s*-?\d+(?:\.\d*?[1-9])?)\.?0*(?=\s*[,}])", "$1")
     quoted = F.regexp_replace(
         quoted, r""":\s*(?!null\s*[,}])([^"'\s,\[\]{}:][^"',\[\]{}:]*?)\s*(?=[,}])""", ':"$1"'
     )
-    return F.coalesce(strict, F.from_json(quoted, HOT_TYPE, {"allowSingleQuotes": "true"}))
+    lenient = F.from_json(quoted, HOT_TYPE, options)
+    return F.when(bare, lenient).otherwise(F.coalesce(F.from_json(text, HOT_TYPE, options), lenient))
 
 
 def parse(lines: DataFrame, rules: Rules | None = None, text: str = "value") -> DataFrame:
@@ -207,43 +211,41 @@ def _kind_predicates() -> dict[str, Column]:
     }
 
 
-def _hot_points() -> Column:
-    """Valid click coordinates; null when the text or a link in it cannot be read."""
-    points = parse_hot("hot")
-    readable = ~F.exists(points, lambda p: p["u"].isNotNull() & url_decoded(p["u"]).isNull())
+def _with_points(parsed: DataFrame) -> DataFrame:
+    """Add ``points``: valid click coordinates; null when the text or a link in it is unreadable."""
+    read = parsed.withColumn("points", F.when(_kind_predicates()["hot"], parse_hot("hot")))
+    readable = ~F.exists("points", lambda p: p["u"].isNotNull() & url_decoded(p["u"]).isNull())
     link = lambda p: F.when(p["t"] == "a", without_query(url_decoded(p["u"])))
     shaped = F.transform(
-        points, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), link(p).alias("u"))
+        "points",
+        lambda p: F.struct(F.lit("hot").alias("kind"), p["x"].alias("x"), p["y"].alias("y"), link(p).alias("u")),
     )
-    return F.when(readable, shaped)
+    return read.withColumn("points", F.when(readable, shaped))
 
 
 def stream(parsed: DataFrame, kind: str) -> DataFrame:
     """One stream out of parsed, marked and located lines, with ``vtime`` for the period."""
     rows = parsed.where(_kind_predicates()[kind])
     if kind == "hot":
-        rows = rows.select("*", F.explode(_hot_points()).alias("p")).select("*", "p.*")
+        points = F.explode_outer("points").alias("p")
+        rows = _with_points(rows).select("*", points).where(F.col("p").isNotNull()).select("*", "p.*")
     columns = [c for c in STREAMS[kind].names if c != "vtime"]
     return rows.select(*columns, "vtime")
 
 
 def route(parsed: DataFrame) -> DataFrame:
     """All streams in one pass: one row per record, with ``kind`` and the columns of all kinds."""
-    kinds = _kind_predicates()
-    tag = lambda kind, x, y, u: F.struct(
-        F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"), u.alias("u")
-    )
     nothing = F.lit(None).cast("string")
-    plain = F.array_compact(
-        F.array(*[F.when(p, tag(k, nothing, nothing, nothing)) for k, p in kinds.items() if k != "hot"])
+    tag = lambda kind: F.struct(
+        F.lit(kind).alias("kind"), nothing.alias("x"), nothing.alias("y"), nothing.alias("u")
     )
-    points = F.when(
-        kinds["hot"],
-        F.transform(_hot_points(), lambda p: tag("hot", p["x"], p["y"], p["u"])),
+    plain = F.array_compact(
+        F.array(*[F.when(p, tag(k)) for k, p in _kind_predicates().items() if k != "hot"])
     )
     empty = F.array().cast("array<struct<kind:string,x:string,y:string,u:string>>")
     # The outer form: no filter on the array's size is derived, which would parse it twice.
-    tagged = parsed.withColumn("r", F.explode_outer(F.concat(plain, F.coalesce(points, empty))))
+    records = F.concat(plain, F.coalesce("points", empty))
+    tagged = _with_points(parsed).withColumn("r", F.explode_outer(records))
     tagged = tagged.where(F.col("r").isNotNull())
     names = dict.fromkeys(c for s in STREAMS.values() for c in s.names if c not in "xyu")
     return tagged.select("r.kind", *names, "r.x", "r.y", "r.u")
@@ -251,19 +253,16 @@ def route(parsed: DataFrame) -> DataFrame:
 
 def rejects(parsed: DataFrame) -> DataFrame:
     """Lines that yield no record at all, with the reason."""
-    kinds = _kind_predicates()
-    hot_ok = kinds["hot"] & _hot_points().isNotNull() & (F.size(_hot_points()) > 0)
-    used = hot_ok
-    for kind, condition in kinds.items():
-        if kind != "hot":
-            used = used | condition
+    kinds = {k: p for k, p in _kind_predicates().items() if k != "hot"}
+    used = reduce(or_, kinds.values(), F.coalesce(F.size("points") > 0, F.lit(False)))
     why = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when((F.col("path") == CLICK_MARK), "blank_click")
         .when((F.col("path") == PAGE_CLOSE) & F.col("no_time"), "blank_dwell")
         .otherwise("untracked_site")
     )
-    return parsed.where(~F.coalesce(used, F.lit(False))).select("line", why.alias("reason"))
+    lost = _with_points(parsed).where(~F.coalesce(used, F.lit(False)))
+    return lost.select("line", why.alias("reason"))
 
 
 def clean(lines: DataFrame, rules: Rules, sites: DataFrame, ranges: DataFrame) -> DataFrame:

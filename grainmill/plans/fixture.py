@@ -1,6 +1,7 @@
 """Cleaned streams and raw log lines derived from the ``events`` table.
 
-Everything here is a projection of the given tables, so its size grows with them.
+Everything here is a projection of the given tables, so its size grows with them. An event is
+either a page close (one in four) or a page view, so the two streams together hold every event.
 """
 
 from __future__ import annotations
@@ -89,12 +90,13 @@ def dwell(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
 
 
 def ad_hits(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
-    where = f"not ({IS_CLOSE}) and k%8=0"
+    where = f"not ({IS_CLOSE}) and ({EXPRESSIONS['adsid']}) is not null"
     return _stream(spark, sf_dir, where, "ip wid domain new adsref adsnew adsid", grain)
 
 
 def ad_dwell(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
-    return _stream(spark, sf_dir, f"{IS_CLOSE} and k%8=0", "domain adsid new page_avg_time", grain)
+    where = f"{IS_CLOSE} and ({EXPRESSIONS['adsid']}) is not null"
+    return _stream(spark, sf_dir, where, "domain adsid new page_avg_time", grain)
 
 
 def hot(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
