@@ -200,10 +200,13 @@ def time_to_micros(ts: Column | str) -> Column:
 def ip_number(ip: Column | str) -> Column:
     """Dotted quad as an unsigned 32-bit number; null when it is not one."""
     ip = col(ip)
-    octets = F.split(ip, r"\.")
-    number = F.lit(0).cast("long")
-    for i in range(4):
-        number = number * F.lit(256) + F.get(octets, F.lit(i)).try_cast("long")
+    # The array function also ends the generated stage here, so that a long parse before it and the
+    # join after it do not grow into one method too large for the JIT compiler (8,000 bytes).
+    number = F.aggregate(
+        F.split(ip, r"\."),
+        F.lit(0).cast("long"),
+        lambda total, octet: total * F.lit(256) + octet.try_cast("long"),
+    )
     valid = ip.rlike(r"^(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)$")
     return F.when(valid, number)
 

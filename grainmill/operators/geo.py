@@ -8,7 +8,7 @@ many range starts, whatever the data looks like.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.location import UNKNOWN_AREA, UNKNOWN_COUNTRY, area_of, city_of, province_of
 from ..functions.scalars import ip_number
@@ -48,32 +48,36 @@ def range_pieces(ranges: DataFrame) -> DataFrame:
     )
 
 
-def _known(df: DataFrame) -> DataFrame:
-    """Country and area text, with the fixed texts where no range matched."""
+def _unknown_texts() -> dict[str, Column]:
+    return {"country": F.lit(UNKNOWN_COUNTRY), "area": F.lit(UNKNOWN_AREA)}
+
+
+def _known(df: DataFrame, unknown: dict[str, Column]) -> DataFrame:
+    """The location columns, with fixed values where no range matched."""
     miss = F.col("low").isNull()
-    return df.withColumns(
-        {
-            "country": F.when(miss, F.lit(UNKNOWN_COUNTRY)).otherwise(F.col("country")),
-            "area": F.when(miss, F.lit(UNKNOWN_AREA)).otherwise(F.col("area")),
-        }
-    )
+    return df.withColumns({c: F.when(miss, v).otherwise(F.col(c)) for c, v in unknown.items()})
 
 
-def locate_by_broadcast(df: DataFrame, pieces: DataFrame, ip: str = "ip") -> DataFrame:
-    """Left range join on bucket and bounds; adds country and area text."""
-    number = ip_number(ip)
-    left = df.withColumns({"ip_num": number, "ip_bucket": F.shiftright(number, 16)})
+def locate_by_broadcast(
+    df: DataFrame, pieces: DataFrame, ip: str = "ip", unknown: dict[str, Column] | None = None
+) -> DataFrame:
+    """Left range join on bucket and bounds; adds the location columns of the pieces."""
+    left = df.withColumn("ip_num", ip_number(ip))
     inside = (
-        (F.col("ip_bucket") == F.col("bucket"))
+        (F.shiftright("ip_num", 16) == F.col("bucket"))
         & (F.col("ip_num") >= F.col("low"))
         & (F.col("ip_num") <= F.col("high"))
     )
-    joined = _known(left.join(pieces, inside, "left"))
-    return joined.drop("ip_num", "ip_bucket", "bucket", "low", "high")
+    joined = _known(left.join(pieces, inside, "left"), unknown or _unknown_texts())
+    return joined.drop("ip_num", "bucket", "low", "high")
 
 
 def locate_by_window(
-    df: DataFrame, pieces: DataFrame, ip: str = "ip", hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    pieces: DataFrame,
+    ip: str = "ip",
+    unknown: dict[str, Column] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The same result where the dictionary is too large to broadcast.
 
@@ -85,7 +89,8 @@ def locate_by_window(
     counts = df.where(number.isNotNull()).groupBy(F.col(ip).alias("ip_text"))
     counts = counts.agg(F.count(F.lit(1)).alias("n")).withColumn("at", ip_number("ip_text"))
     points = counts.select(F.shiftright("at", 16).alias("bucket"), "at", "ip_text", "n")
-    piece = F.struct("low", "high", "country", "area").alias("piece")
+    unknown = unknown or _unknown_texts()
+    piece = F.struct("low", "high", *unknown).alias("piece")
     starts = pieces.select("bucket", F.col("low").alias("at"), piece)
     stacked = points.unionByName(starts, allowMissingColumns=True)
     # At an equal position the range start comes first.
@@ -106,24 +111,34 @@ def locate_by_window(
     )
     cold = located.where(F.col("n") < hot_rows).select(F.col("ip_text").alias("ip_key"), "piece")
     joined = left.join(cold, "ip_key", "left").withColumn("piece", F.coalesce("hot_piece", "piece"))
-    joined = joined.select(*df.columns, "piece.low", "piece.country", "piece.area")
-    return _known(joined).drop("low")
+    joined = joined.select(*df.columns, *[f"piece.{c}" for c in ("low", *unknown)])
+    return _known(joined, unknown).drop("low")
+
+
+def _locate(df: DataFrame, pieces: DataFrame, ip: str, unknown: dict[str, Column]) -> DataFrame:
+    pieces, small = broadcast_if_small(pieces)
+    if small:
+        return locate_by_broadcast(df, pieces, ip, unknown)
+    return locate_by_window(df, pieces, ip, unknown)
 
 
 def locate(df: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
     """Add ``country`` and ``area`` text of the range that holds the address."""
-    pieces, small = broadcast_if_small(range_pieces(ranges))
-    if small:
-        return locate_by_broadcast(df, pieces, ip)
-    return locate_by_window(df, pieces, ip)
+    return _locate(df, range_pieces(ranges), ip, _unknown_texts())
 
 
 def with_location(df: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
-    """Add province, city and area as the cleaned streams carry them."""
-    located = locate(df, ranges, ip)
-    return located.withColumns(
-        {"province": province_of("country"), "city": city_of("country"), "area": area_of("area")}
-    ).drop("country")
+    """Add province, city and area as the cleaned streams carry them.
+
+    The location texts are taken apart in the dictionary, not once per hit.
+    """
+    parts = {"province": province_of, "city": city_of}
+    pieces = range_pieces(ranges)
+    pieces = pieces.select(
+        "bucket", "low", "high", *[f("country").alias(c) for c, f in parts.items()], area_of("area").alias("area")
+    )
+    unknown = {c: f(F.lit(UNKNOWN_COUNTRY)) for c, f in parts.items()}
+    return _locate(df, pieces, ip, unknown | {"area": area_of(F.lit(UNKNOWN_AREA))})
 
 
 def find_ranges(ranges: DataFrame, text: str) -> DataFrame:

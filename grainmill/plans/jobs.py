@@ -26,7 +26,11 @@ def clean_logs(
 def read_streams(
     spark: SparkSession, root: str, period: str, grain: str = "day", kinds: tuple[str, ...] = tuple(STREAMS)
 ) -> dict[str, DataFrame]:
-    return {k: with_period(readers.cleaned(spark, root, k, period), grain) for k in kinds}
+    """Cleaned streams with ``period``; days come from the folder names, hours from the visit time."""
+    streams = {k: readers.cleaned(spark, root, k, period) for k in kinds}
+    if grain == "day":
+        return {k: s.withColumnRenamed("day", "period") for k, s in streams.items()}
+    return {k: with_period(s, grain) for k, s in streams.items()}
 
 
 def _families_of(table: str) -> list[Family]:
