@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, quality, urlfilter, warc
+from . import mixing, quality, substring, urlfilter, warc
 from .common import table
-from .sql import MIXING_SQL, QUALITY_SQL, URLFILTER_SQL, WARC_SQL
+from .sql import MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL, URLFILTER_SQL, WARC_SQL
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeats of 20 words."""
+    left = substring.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     mix = mixing.mixed(table(spark, sf_dir, "documents"))
@@ -34,9 +40,10 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.url_verdicts(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_mixing, op8_warc_revisits, op9_url_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op6_mixing, op8_warc_revisits, op9_url_rules)}
 SQL = {
     "op1_quality_rules": QUALITY_SQL,
+    "op2_substring_dedup": SUBSTRING_SQL,
     "op6_mixing": MIXING_SQL,
     "op8_warc_revisits": WARC_SQL,
     "op9_url_rules": URLFILTER_SQL,

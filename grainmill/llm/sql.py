@@ -172,3 +172,12 @@ t as (select rid, page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
 m as (select rid, arg_max(rh || rp, length(rh || rp)) as rule, arg_max(rv, length(rh || rp)) as rv
   from t join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp) group by rid)
 select page_id, host, path, rule, coalesce(rv, 'allow') as verdict from t left join m using (rid)"""
+
+SUBSTRING_SQL = rf"""with d as (select doc_id, row_number() over (order by doc_id) as rid, {WORDS} as w from documents),
+g as (select rid, unnest(range(1, len(w) - 18)) as i, unnest(list_transform(range(1, len(w) - 18), lambda i: w[i:i + 19])) as g from d where len(w) >= 20),
+r as (select rid, i from (select rid, i, row_number() over (partition by g order by rid, i) as n from g) where n > 1),
+c as (select distinct rid, unnest(range(i, i + 20)) as p from r),
+k as (select rid, unnest(w) as x, unnest(range(1, len(w) + 1)) as p from d),
+t as (select rid, string_agg(x, ' ' order by p) as t, count(*) as n from k anti join c using (rid, p) group by rid)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join t using (rid)"""
