@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, quality, substring, urlfilter, warc
+from . import mixing, ordinal, pii, quality, substring, urlfilter, warc
 from .common import table
 from .sql import MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL, URLFILTER_SQL, WARC_SQL
 
@@ -22,12 +22,23 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, probability of the best grade and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.graded(docs, ordinal.train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     mix = mixing.mixed(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    return pii.with_surrogates(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page after it was written to archives and read back."""
     records = warc.archived(table(spark, sf_dir, "pages"))
@@ -40,7 +51,12 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.url_verdicts(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op6_mixing, op8_warc_revisits, op9_url_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_substring_dedup, op5_ordinal_quality, op6_mixing, op7_pii_surrogates, op8_warc_revisits, op9_url_rules,
+    )
+}
 SQL = {
     "op1_quality_rules": QUALITY_SQL,
     "op2_substring_dedup": SUBSTRING_SQL,
