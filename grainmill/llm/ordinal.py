@@ -33,8 +33,6 @@ STEPS = 250
 RATE = 0.05
 L1 = 2e-4
 
-_BREAK = np.ones(256, bool)
-_BREAK[0x30:0x3A] = _BREAK[0x41:0x5B] = _BREAK[0x61:0x7B] = _BREAK[0x80:] = False
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -53,7 +51,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the distinct features of each text, and where each text's begin (one more than texts)."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     stops = np.cumsum([len(t) + 1 for t in texts])
-    brk = _BREAK[data]
+    brk = rolling._NOT_PLAIN[data]
     before = np.r_[True, brk[:-1]]
     starts, ends = np.flatnonzero(~brk & before), np.flatnonzero(brk & ~before)
     run = np.zeros(len(data) + 1, np.uint64)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, ordinal, pii, quality, substring, urlfilter, warc
+from . import bagminhash, decontaminate, mixing, ordinal, pii, quality, substring, urlfilter, warc
 from .common import table
 from .sql import MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL, URLFILTER_SQL, WARC_SQL
 
@@ -22,6 +22,19 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document."""
+    found = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    best = F.reduce("hits", F.lit(None).cast("double"), lambda a, x: F.greatest(a, x["share"]))
+    items = F.transform("hits", lambda x: x["item_id"])
+    return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"), items.alias("item_ids"), best.alias("best_share"))
+
+
 def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade, probability of the best grade and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -54,7 +67,7 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_substring_dedup, op5_ordinal_quality, op6_mixing, op7_pii_surrogates, op8_warc_revisits, op9_url_rules,
+        op1_quality_rules, op2_substring_dedup, op3_bagminhash, op4_decontamination, op5_ordinal_quality, op6_mixing, op7_pii_surrogates, op8_warc_revisits, op9_url_rules,
     )
 }
 SQL = {

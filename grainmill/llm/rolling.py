@@ -9,6 +9,9 @@ import numpy as np
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Breaks between plain words: all of ASCII but letters and digits.
+_NOT_PLAIN = np.ones(256, bool)
+_NOT_PLAIN[0x30:0x3A] = _NOT_PLAIN[0x41:0x5B] = _NOT_PLAIN[0x61:0x7B] = _NOT_PLAIN[0x80:] = False
 _BYTES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _FOLDED = _BYTES.copy()
 _FOLDED[0x41:0x5B] = _BYTES[0x61:0x7B]
@@ -63,9 +66,9 @@ class Words:
         return np.arange(len(self.values)) + n <= ends
 
 
-def _piece(texts: list[bytes], fold: bool) -> tuple[np.ndarray, np.ndarray]:
+def _piece(texts: list[bytes], fold: bool, plain: bool) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    space = _SPACE[data]
+    space = (_NOT_PLAIN if plain else _SPACE)[data]
     before = np.empty_like(space)
     before[0], before[1:] = True, space[:-1]
     starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
@@ -88,11 +91,14 @@ def pieces(texts: list[bytes | None], size: int = PIECE_BYTES) -> Iterator[tuple
         yield begin, len(texts)
 
 
-def words(texts: list[bytes | None], fold: bool = False) -> Words:
-    """Words of the texts (what ``bytes.split()`` gives; null has none). ``fold``: A-Z count as a-z."""
+def words(texts: list[bytes | None], fold: bool = False, plain: bool = False) -> Words:
+    """Words of the texts (what ``bytes.split()`` gives; null has none).
+
+    ``fold``: A-Z count as a-z; ``plain``: all ASCII signs but letters and digits separate words too.
+    """
     values, counts = [], []
     for begin, end in pieces(texts):
-        got, stops = _piece([t or b"" for t in texts[begin:end]], fold)
+        got, stops = _piece([t or b"" for t in texts[begin:end]], fold, plain)
         values.append(got)
         counts.append(np.diff(stops, prepend=0))
     offsets = np.concatenate([[0], *counts]).cumsum() if counts else np.zeros(1, np.int64)
