@@ -28,6 +28,7 @@ REPEATS = 3
 BLOCK_WORDS = 16
 SHARD_WORDS = 1_000_000
 KEY = "mix-1"
+SALTS = 16
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -152,7 +153,8 @@ def _upto(word: Column, block_words: int) -> Column:
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix as documents: each text holds the words taken from it, block by block, repeated as often as they are taken.
 
-    Documents of which nothing is taken go. Rows with the same doc_id, source and size are told apart by their order.
+    Documents of which nothing is taken go. Rows with the same doc_id, source and size are told apart by their order. size,
+    source_size, target and taken are added, in place of columns of these names; n_chars, where there is one, is counted anew.
     """
     alike = Window.partitionBy("doc_id", "source", "size")
     plan = mixed(docs, block_words).where("taken > 0")
@@ -160,7 +162,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
         F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "m_nth",
         "source_size", "target", "taken", "start", "blocks", "copies", "turn",
     )
-    own = docs.withColumns({"w": words("text")})
+    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text", words("text").alias("w"))
     own = own.withColumn("size", F.size("w").cast("long")).withColumn("nth", F.row_number().over(alike.orderBy("text")))
     both = own.join(
         plan,
@@ -175,12 +177,9 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
         part = F.slice("w", (begin + 1).cast("int"), (end - begin).cast("int"))
         return F.flatten(F.array_repeat(part, block_copies(block).cast("int")))
 
-    text = F.array_join(F.flatten(F.transform(F.sequence(first, last), piece)), " ")
-    drop = [c for c in ("w", "m_id", "m_source", "m_size", "m_nth", "nth", "start", "blocks", "copies", "turn") if c not in docs.columns]
-    both = both.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.length("text").cast("long"))
-    return both.drop(*drop)
-
+    both = both.withColumn("mixed", F.array_join(F.flatten(F.transform(F.sequence(first, last), piece)), " "))
+    made = {"text": F.col("mixed"), "n_chars": F.length("mixed").cast("long")}
+    about = ["size", "source_size", "target", "taken"]
+    kept = [made.get(c, F.col("row")[c]).alias(c) for c in docs.columns if c not in about]
+    return both.select(*kept, *about)
 
-SALTS = 16

@@ -68,12 +68,17 @@ def repeated_words(text_words: Column) -> Column:
     return F.when(F.size(text_words) < WINDOW + 1, F.lit(0).cast("long")).otherwise(counted)
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, the counts of every whole text, whether it fails the base rule, and the rates in thousandths."""
+def measures(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, lang, source, the counts of every whole text, whether it fails the base rule, and the rates in thousandths.
+
+    ``carry`` adds the row itself as one struct ``row``.
+    """
     text = F.coalesce("text", F.lit(""))
-    row = docs.select("doc_id", "lang", "source", words("text").alias("w"), text.alias("t"))
+    own = ["row"] if carry else []
+    docs = docs.withColumn("row", F.struct(*docs.columns)) if carry else docs
+    row = docs.select(*own, "doc_id", "lang", "source", words("text").alias("w"), text.alias("t"))
     row = row.select(
-        "doc_id", "lang", "source",
+        *own, "doc_id", "lang", "source",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.translate("t", SEPARATORS, "")).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -83,7 +88,7 @@ def measures(docs: DataFrame) -> DataFrame:
     )
     rate = lambda part, whole: F.coalesce(F.floor(1000 * F.col(part) / F.nullif(F.col(whole), F.lit(0))), F.lit(0))
     return row.select(
-        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols",
+        *own, "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols",
         F.col("l.again").alias("n_dup_lines"), "n_repeat_words",
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
         rate("n_symbols", "n_words").alias("symbol_rate"),
@@ -145,13 +150,13 @@ def thresholds(rows: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def judge(rows: DataFrame) -> DataFrame:
+def judge(rows: DataFrame, limits: DataFrame) -> DataFrame:
     """Rows of ``measures`` with the limits of their group and ``kept``.
 
     Limits are repeated for each salt, so the rows of a hot source meet them in many tasks.
     """
     names = list(FLOORS)
-    limits = thresholds(rows, names).select(
+    limits = limits.select(
         F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *[f"{m}_limit" for m in names],
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("t_salt"),
     )
@@ -170,4 +175,11 @@ def judge(rows: DataFrame) -> DataFrame:
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document: counts, limits and verdict. Texts are read once; the counts are kept in the shared folder."""
-    return judge(stored(measures(docs), "quality"))
+    rows = stored(measures(docs), "quality")
+    return judge(rows, thresholds(rows, list(FLOORS)))
+
+
+def good_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep. Texts are measured for the limits and again for the verdict, and not shuffled."""
+    limits = stored(thresholds(measures(docs), list(FLOORS)), "limits")
+    return judge(measures(docs, carry=True), limits).where("kept").select("row.*")
