@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bagminhash, decontaminate, mixing, ordinal, pii, quality, substring, urlfilter, warc
+from . import bagminhash, decontaminate, mixing, ordinal, pii, pitmanyor, quality, substring, urlfilter, warc
 from .common import table
 from .sql import MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL, URLFILTER_SQL, WARC_SQL
 
@@ -64,10 +64,16 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.url_verdicts(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document."""
+    return pitmanyor.scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_substring_dedup, op3_bagminhash, op4_decontamination, op5_ordinal_quality, op6_mixing, op7_pii_surrogates, op8_warc_revisits, op9_url_rules,
+        op10_pitman_yor,
     )
 }
 SQL = {
