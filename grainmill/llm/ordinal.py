@@ -28,10 +28,10 @@ GRADES = 3
 HASH_BITS = 18
 MAX_LABELLED = 10_000
 PREFIX_BYTES = 5
-KEEP_ABOVE = 0.7
-STEPS = 250
-RATE = 0.05
-L1 = 2e-4
+KEEP_ABOVE = 0.6
+STEPS = 300
+RATE = 0.1
+L1 = 1e-3
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
