@@ -54,7 +54,8 @@ def blacklisted(line: Column | str, filters: list[str]) -> Column:
     patterns = [f for f in filters if PATTERN_SYNTAX.search(f)]
     tests = [F.contains(line, F.lit(f)) for f in plain]
     if patterns:
-        tests.append(line.rlike("(?:" + "|".join(patterns) + ")"))
+        # Each rule is a test of its own: flags and group numbers of one do not reach another.
+        tests += [line.rlike(p) for p in patterns]
     return reduce(or_, tests, F.lit(False))
 
 
@@ -184,16 +185,27 @@ def parse(lines: DataFrame, rules: Rules | None = None, text: str = "value") ->
     return raw.select(F.inline(F.array(record)))
 
 
-def mark_tracked(parsed: DataFrame, sites: DataFrame) -> DataFrame:
-    """Add ``tracked``: the line's site is on the allow-list."""
-    listed, _ = broadcast_if_small(sites.select("domain").distinct())
-    return parsed.join(listed.withColumn("tracked", F.lit(True)), "domain", "left").withColumn(
-        "tracked", F.coalesce("tracked", F.lit(False))
-    )
+SALTS = 32
+
+
+def mark_tracked(parsed: DataFrame, sites: DataFrame, limit: int | None = None) -> DataFrame:
+    """Add ``tracked``: the line's site is on the allow-list.
+
+    A list too large to broadcast is repeated for each salt, so the lines of one site are spread over as many tasks.
+    """
+    listed, small = broadcast_if_small(sites.select("domain").distinct(), limit)
+    listed = listed.withColumn("tracked", F.lit(True))
+    if small:
+        marked = parsed.join(listed, "domain", "left")
+    else:
+        salt = F.pmod(F.xxhash64("line"), F.lit(SALTS)).cast("int")
+        listed = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        marked = parsed.withColumn("salt", salt).join(listed, ["domain", "salt"], "left").drop("salt")
+    return marked.withColumn("tracked", F.coalesce("tracked", F.lit(False)))
 
 
 def only_tracked(df: DataFrame, sites: DataFrame) -> DataFrame:
-    """Rows whose site is on the allow-list."""
+    """Rows whose site is on the allow-list; both sides come straight from an exchange, so hot sites can be split."""
     listed, _ = broadcast_if_small(sites.select("domain").distinct())
     return df.join(listed, "domain", "left_semi")
 
@@ -233,8 +245,11 @@ def stream(parsed: DataFrame, kind: str) -> DataFrame:
     return rows.select(*columns, "vtime")
 
 
-def route(parsed: DataFrame) -> DataFrame:
-    """All streams in one pass: one row per record, with ``kind`` and the columns of all kinds."""
+def route(parsed: DataFrame, with_rejects: bool = False) -> DataFrame:
+    """All streams in one pass: one row per record, with ``kind`` and the columns of all kinds.
+
+    ``with_rejects`` keeps the lines without a record as kind ``rejects``, with ``line`` and ``reason``.
+    """
     nothing = F.lit(None).cast("string")
     tag = lambda kind: F.struct(
         F.lit(kind).alias("kind"), nothing.alias("x"), nothing.alias("y"), nothing.alias("u")
@@ -246,23 +261,31 @@ def route(parsed: DataFrame) -> DataFrame:
     # The outer form: no filter on the array's size is derived, which would parse it twice.
     records = F.concat(plain, F.coalesce("points", empty))
     tagged = _with_points(parsed).withColumn("r", F.explode_outer(records))
-    tagged = tagged.where(F.col("r").isNotNull())
     names = dict.fromkeys(c for s in STREAMS.values() for c in s.names if c not in "xyu")
-    return tagged.select("r.kind", *names, "r.x", "r.y", "r.u")
+    if not with_rejects:
+        return tagged.where(F.col("r").isNotNull()).select("r.kind", *names, "r.x", "r.y", "r.u")
+    lost = F.col("r").isNull()
+    return tagged.select(
+        F.coalesce("r.kind", F.lit("rejects")).alias("kind"), *names, "r.x", "r.y", "r.u",
+        F.when(lost, F.col("line")).alias("line"), F.when(lost, _reject_reason()).alias("reason"),
+    )
 
 
-def rejects(parsed: DataFrame) -> DataFrame:
-    """Lines that yield no record at all, with the reason."""
-    kinds = {k: p for k, p in _kind_predicates().items() if k != "hot"}
-    used = reduce(or_, kinds.values(), F.coalesce(F.size("points") > 0, F.lit(False)))
-    why = (
+def _reject_reason() -> Column:
+    return (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when((F.col("path") == CLICK_MARK), "blank_click")
         .when((F.col("path") == PAGE_CLOSE) & F.col("no_time"), "blank_dwell")
         .otherwise("untracked_site")
     )
+
+
+def rejects(parsed: DataFrame) -> DataFrame:
+    """Lines that yield no record at all, with the reason."""
+    kinds = {k: p for k, p in _kind_predicates().items() if k != "hot"}
+    used = reduce(or_, kinds.values(), F.coalesce(F.size("points") > 0, F.lit(False)))
     lost = _with_points(parsed).where(~F.coalesce(used, F.lit(False)))
-    return lost.select("line", why.alias("reason"))
+    return lost.select("line", _reject_reason().alias("reason"))
 
 
 def clean(lines: DataFrame, rules: Rules, sites: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,6 +12,10 @@ from ..functions import location, scalars as sc
 from ..operators import behaviour, clean, geo, members as m, visitors
 from ..operators.merge import matched, merge_cells, overlay
 from ..operators.periods import with_period
+from ..schemas import OLDER_STREAMS, SITES
+from ..session import shared_folder
+from ..sources import readers
+from ..sources.writers import read_table, upsert_table, write_by_key, write_streams, write_text
 from . import fixture as fx, oracle as o
 from .grains import FAMILIES, dwell_cells, visitor_cells, wide_cells
 from .jobs import result_table
@@ -862,3 +867,150 @@ def table_out_link(spark, d):
 )
 def table_search_region(spark, d):
     return result_table("search_region", {k: s(spark, d) for k, s in fx.STREAMS.items()})
+
+
+def _whole_table(name: str, grain: str = "day") -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return result_table(name, {k: s(spark, d, grain) for k, s in fx.STREAMS.items()}, grain == "hour")
+
+    return run
+
+
+def _levelled(name: str, sql: str) -> str:
+    return f"select *, '{name}' as level from ({sql})"
+
+
+def _host_table(grain: str) -> str:
+    hits, dwell = f"from hits group by {_HOST}", f"from dwell group by {_HOST}"
+    return (
+        f"{o.base('hits dwell', grain)}, b as (select {_HOST}, count(*) as bc from ({o.singles('hits', _HOST)}) group by {_HOST}), "
+        f"t as (select {_HOST}, count(ip) as pv, count(distinct wid) as uv {hits}), "
+        f"w as (select {_HOST}, {o.clock('(sum(page_avg_time)//count(domain))')} as avg_time {dwell}) "
+        f"select {_HOST}, 'respondomain' as level, pv, uv, case when pv is not null then {o.pct('coalesce(bc,0)', 'pv')} end as br, avg_time "
+        f"from t full join w using ({_HOST}) left join b using ({_HOST})"
+    )
+
+
+for _name, _family, _loyal in (
+    ("domain", "site", True), ("ads", "ad", True), ("region_distribute", "region", False), ("search_engines", "engine", False),
+    ("search_word", "keyword", False), ("out_region", "link_region", False), ("direct_access", "direct", False),
+    ("direct_region", "direct_region", False),
+):
+    _sql = o.family(_family, "wide", area=FAMILIES[_family].area, loyalty_too=True) if _loyal else o.family(
+        _family, "wide", area=FAMILIES[_family].area
+    )
+    register(f"table_{_name}", _sql)(_whole_table(_name))
+for _name, _source in (
+    ("page", "traffic_page"), ("detail", "page_referrer_counts"), ("hotlink", "link_clicks"), ("hotmap", "click_positions"),
+    ("heatmap", "click_marks"),
+):
+    register(f"table_{_name}", _levelled(_name, CATALOG[_source].sql))(_whole_table(_name))
+register("table_respondomain", _host_table("day"))(_whole_table("respondomain"))
+register("hourly_host", _host_table("hour"))(_whole_table("respondomain", "hour"))
+register(
+    "table_gjsx",
+    _levelled(
+        "gjsx",
+        f"select * exclude (retbc, newbc) from ({CATALOG['visitor_channel_traffic'].sql}) full join ({CATALOG['visitor_channel_bounce'].sql}) "
+        f"using (period, domain, channel) full join ({CATALOG['visitor_channel_dwell'].sql}) using (period, domain, channel)",
+    ),
+)(_whole_table("gjsx"))
+
+
+# ---- sources and sinks, through files in the shared folder --------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new path that all machines of the session see; the query reads it, so it stays until the folder is cleared."""
+    return shared_folder(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("clean_two_batches_hits", f"{_clean_base()} {_CLEAN_SELECTS['hits']}")
+def clean_two_batches_hits(spark, d):
+    """Lines of all days in two runs, so each run has stragglers of the other's day; both are kept."""
+    root, half = _folder(spark, "batches"), F.pmod(F.xxhash64("value"), F.lit(2))
+    for n, batch in enumerate(("20240115", "2024011607")):
+        lines = fx.raw_lines(spark, d).where(half == n)
+        write_streams(clean.route(clean.clean(lines, RULES, fx.sites(spark, d), fx.ip_ranges(spark, d)), with_rejects=True), root, batch)
+    return readers.cleaned(spark, root, "hits").drop("day", "hour")
+
+
+@register("clean_batch_rejects", CATALOG["clean_rejects"].sql)
+def clean_batch_rejects(spark, d):
+    root = _folder(spark, "batches")
+    write_streams(clean.route(_cleaned(spark, d), with_rejects=True), root, "20240101")
+    return readers.cleaned(spark, root, "rejects").groupBy("reason").agg(F.count(F.lit(1)).alias("line_count"))
+
+
+@register("upsert_through_files", CATALOG["upsert_rows"].sql)
+def upsert_through_files(spark, d):
+    root, hits = _folder(spark, "upsert"), fx.hits(spark, d)
+    level = F.lit("domain").alias("level")
+    stored = behaviour.views_and_visitors(hits.where("wb = 1"), ["domain"]).select("*", level)
+    fresh = behaviour.views_and_visitors(hits.where("new = 1"), ["domain"]).drop("uv").select("*", level)
+    for cells in (stored, fresh):
+        upsert_table(cells, root, "domain")
+    return read_table(spark, root, "domain").select("period", "domain", "pv", "uv")
+
+
+_TEXT_COLUMNS = "ip wid page ref domain respondomain enter new se wb kw"
+_TEXT_SQL = f"{o.base('hits')} select {', '.join(_TEXT_COLUMNS.split())} from hits"
+
+
+def _through_text(sep: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        path = _folder(spark, "text")
+        write_text(fx.hits(spark, d).select(*_TEXT_COLUMNS.split()), path, sep)
+        return readers.delimited(spark, path, OLDER_STREAMS["hits_2014_site"], sep)
+
+    return run
+
+
+register("text_backtick_hits", _TEXT_SQL)(_through_text(readers.FIELD_MARK))
+register("text_comma_hits", _TEXT_SQL)(_through_text(","))
+
+
+@register("raw_log_kind_counts", CATALOG["clean_kind_counts"].sql)
+def raw_log_kind_counts(spark, d):
+    path = _folder(spark, "log")
+    fx.raw_lines(spark, d).write.text(path)
+    parsed = clean.clean(readers.raw_log(spark, path), RULES, fx.sites(spark, d), fx.ip_ranges(spark, d))
+    return clean.route(parsed).groupBy("kind").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("one_column_urls", "select url from pages where url is not null and not contains(url, chr(10)) and not contains(url, chr(13))")
+def one_column_urls(spark, d):
+    path = _folder(spark, "urls")
+    fx.table(spark, d, "pages").select("url").where("url is not null and not url rlike '[\\r\\n]'").write.text(path)
+    return readers.lines(spark, path)
+
+
+@register("key_folders", "select event_type, count(*) as n, sum(event_id)::bigint as ids from events group by event_type")
+def key_folders(spark, d):
+    path = _folder(spark, "keys")
+    write_by_key(fx.table(spark, d, "events").select("event_type", "event_id"), "event_type", path)
+    rows = spark.read.schema("event_id long, event_type string").parquet(path)
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+@register("address_dictionary_text", f"with {_RANGES} select begin_ip, end_ip, nullif(country, '') as country, nullif(range_area, '') as area from r")
+def address_dictionary_text(spark, d):
+    path, ranges = _folder(spark, "ranges"), fx.ip_ranges(spark, d)
+    texts = ranges.select(sc.ip_text("begin_ip").alias("b"), sc.ip_text("end_ip").alias("e"), "country", "area")
+    write_text(texts, path, ",")
+    return readers.ip_ranges(spark, path)
+
+
+@register("tracked_sites_config", "select distinct event_type as domain from events where event_type <> 'error'")
+def tracked_sites_config(spark, d):
+    path = _folder(spark, "config")
+    write_text(fx.table(spark, d, "events").select("event_type").distinct(), path)
+    return readers.tracked_sites(readers.delimited(spark, path, SITES), "error")
+
+
+@register("missing_stream", f"{o.base('hits')} select period, count(*) as hits, 0::bigint as marks from hits group by period")
+def missing_stream(spark, d):
+    """Hits beside a stream that no run has written."""
+    none = readers.cleaned(spark, _folder(spark, "none"), "click_marks").select(F.col("day").alias("period"), F.lit(1).alias("mark"))
+    rows = fx.hits(spark, d).select("period", F.lit(None).cast("int").alias("mark")).unionByName(none)
+    return rows.groupBy("period").agg(F.sum(F.when(F.col("mark").isNull(), 1).otherwise(0)).alias("hits"), F.count("mark").alias("marks"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import SEP
 from ..operators.periods import with_period
-from ..sources.readers import spread
+
 
 K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 
@@ -148,7 +148,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The fault of a line follows from ``event_id % 50``.
     """
-    rows = spread(table(spark, sf_dir, "events"))
+    rows = table(spark, sf_dir, "events").repartition(spark.sparkContext.defaultParallelism)
     e = rows.withColumn("k", F.expr(K)).withColumn("fault", F.expr("event_id%50"))
     cols = {c: F.expr(EXPRESSIONS[c]) for c in EXPRESSIONS if c not in ("domain", "respondomain")}
     e = e.withColumns(cols)

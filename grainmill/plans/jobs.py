@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import behaviour, clean, visitors
 from ..operators.merge import merge_cells
-from ..operators.periods import with_period
 from ..schemas import RESULT_TABLES, STREAMS
 from ..sources import readers, writers
 from .grains import FAMILIES, Family, visitor_cells, dwell_cells, wide_cells
@@ -17,20 +16,23 @@ Streams = Mapping[str, DataFrame]
 
 
 def clean_logs(
-    lines: DataFrame, rules: clean.Rules, sites: DataFrame, ranges: DataFrame, root: str
-) -> None:
-    """Clean raw lines and write every stream in one pass."""
-    writers.write_streams(clean.route(clean.clean(lines, rules, sites, ranges)), root)
+    lines: DataFrame, rules: clean.Rules, sites: DataFrame, ranges: DataFrame, root: str, batch: str
+) -> list[str]:
+    """Clean the raw lines of one run (``batch``: its day or hour) and write every stream and the rejects in one pass.
+
+    Returns the days that have records of this run; stragglers make them more than the batch's own. Report each of them.
+    """
+    writers.write_streams(clean.route(clean.clean(lines, rules, sites, ranges), with_rejects=True), root, batch)
+    return readers.batch_days(lines.sparkSession, root, batch)
 
 
 def read_streams(
     spark: SparkSession, root: str, period: str, grain: str = "day", kinds: tuple[str, ...] = tuple(STREAMS)
 ) -> dict[str, DataFrame]:
-    """Cleaned streams with ``period``; days come from the folder names, hours from the visit time."""
+    """Cleaned streams with ``period``, day or hour by the folder names."""
+    name = F.col("day") if grain == "day" else F.concat("day", "hour")
     streams = {k: readers.cleaned(spark, root, k, period) for k in kinds}
-    if grain == "day":
-        return {k: s.withColumnRenamed("day", "period") for k, s in streams.items()}
-    return {k: with_period(s, grain) for k, s in streams.items()}
+    return {k: s.withColumn("period", name).drop("day", "hour") for k, s in streams.items()}
 
 
 def _families_of(table: str) -> list[Family]:
@@ -93,13 +95,23 @@ def _complete(rows: DataFrame, name: str) -> DataFrame:
 
 
 def report(spark: SparkSession, cleaned_root: str, result_root: str, period: str) -> None:
-    """Write every result table for one day (or the site tables for one hour)."""
+    """Write every result table for one day (or those kept by the hour for one hour).
+
+    A table that fails does not keep the others from being written; all failures are raised together at the end.
+    """
     hourly = len(period) == 10
     streams = read_streams(spark, cleaned_root, period, "hour" if hourly else "day")
+    target = f"{result_root}_hourly" if hourly else result_root
+    failed: dict[str, Exception] = {}
     for name in HOURLY_TABLES if hourly else RESULT_TABLES:
-        target = f"{result_root}_hourly" if hourly else result_root
-        write = writers.replace_table
-        write(result_table(name, streams, hourly), target, name)
+        try:
+            writers.replace_period(result_table(name, streams, hourly), target, name, period)
+        except Exception as error:
+            failed[name] = error
+    if failed:
+        raise ExceptionGroup(f"tables not written for {period}: {', '.join(failed)}", list(failed.values()))
 
 
-HOURLY_TABLES = ["domain", "search_engines", "search_region", "out_link", "out_region", "direct_access", "direct_region"]
+HOURLY_TABLES = [
+    "domain", "search_engines", "search_region", "out_link", "out_region", "direct_access", "direct_region", "respondomain",
+]

@@ -36,6 +36,9 @@ STREAMS: dict[str, T.StructType] = {
     "click_marks": struct("page click"),
 }
 
+#: What a cleaning run writes: the streams, and the lines that gave no record with the reason.
+KINDS = STREAMS | {"rejects": struct("line reason")}
+
 # Narrower or older layouts of the same streams that exist as text files.
 OLDER_STREAMS: dict[str, T.StructType] = {
     "hits_2014_site": struct("ip wid page ref domain respondomain enter new:int se wb:int kw"),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,9 +36,19 @@ def shared_folder(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of the session."""
+@contextmanager
+def kept(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The frame computed once into the shared folder; its files go when the block ends."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    path = shared_folder(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store its path names; a missing one is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

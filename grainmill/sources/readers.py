@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.scalars import ip_number, whole_number
 from ..operators.clean import Rules
-from ..operators.periods import period_of
-from ..schemas import STREAMS
+from ..schemas import KINDS, struct
 
 FIELD_MARK = "`"
 
@@ -22,15 +21,13 @@ def period_path(root: str, period: str, hour_prefix: str = "") -> str:
     raise ValueError(f"not a day or an hour: {period}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for an input of a few unsplittable files; any wider input is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def raw_log(spark: SparkSession, *paths: str, tasks: int | None = None) -> DataFrame:
+    """Raw beacon lines as ``value``; paths may be files, folders or globs.
 
-
-def raw_log(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw beacon lines as ``value``; paths may be files, folders or globs."""
-    return spread(spark.read.text(list(paths)))
+    ``tasks`` deals the lines of a few unsplittable files out to so many tasks.
+    """
+    lines = spark.read.text(list(paths))
+    return lines if tasks is None else lines.repartition(tasks)
 
 
 def delimited(
@@ -81,22 +78,28 @@ def if_present(read, spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, root: str, kind: str, period: str | None = None) -> DataFrame:
-    """One cleaned stream, pruned to a kind and a period (day, or hour inside its day)."""
-    schema = T.StructType([*STREAMS[kind].fields, T.StructField("vtime", T.StringType())])
-    schema = T.StructType([f for i, f in enumerate(schema) if f.name not in schema.names[:i]])
-    names = schema.names
-    with_day = T.StructType([*schema.fields, T.StructField("day", T.StringType())])
+    """One cleaned stream of all batches, pruned to a kind and a period (day or hour) by folder names."""
+    fields = {f.name: f for f in [*KINDS[kind].fields, *struct("vtime").fields]}
+    folders = struct("batch kind day hour").fields
+    layout = T.StructType([*fields.values(), *folders])
+    with_period = T.StructType([*fields.values(), *struct("day hour").fields])
 
     def read() -> DataFrame:
-        layout = T.StructType([*with_day.fields, T.StructField("kind", T.StringType())])
         rows = spark.read.schema(layout).parquet(root).where(F.col("kind") == kind)
         if period:
             rows = rows.where(F.col("day") == period[:8])
         if period and len(period) == 10:
-            rows = rows.where(period_of("vtime", "hour") == period)
-        return rows.select(*names, "day")
+            rows = rows.where(F.col("hour") == period[8:])
+        return rows.select(*with_period.names)
+
+    return if_present(read, spark, with_period)
+
 
-    return if_present(read, spark, with_day)
+def batch_days(spark: SparkSession, root: str, batch: str) -> list[str]:
+    """Days that a cleaning run wrote records for: those to report again after it."""
+    schema = struct("kind day hour")
+    rows = if_present(lambda: spark.read.schema(schema).parquet(f"{root}/batch={batch}"), spark, schema)
+    return sorted(r["day"] for r in rows.where("kind <> 'rejects'").select("day").distinct().collect())
 
 
 def rules_from(filters: DataFrame | None = None, rewrites: DataFrame | None = None) -> Rules:

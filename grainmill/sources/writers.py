@@ -7,18 +7,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.merge import overlay
 from ..operators.periods import period_of
 from ..schemas import RESULT_TABLES
-from ..session import cut_lineage
+from ..session import kept
 from .readers import FIELD_MARK, if_present
 
 
-def write_streams(routed: DataFrame, root: str) -> None:
-    """Routed records as ``kind=.../day=...`` folders; a rerun replaces the days it contains."""
+def write_streams(routed: DataFrame, root: str, batch: str) -> None:
+    """Routed records of one run as ``batch=.../kind=.../day=.../hour=...`` folders.
+
+    A run owns the folder of its batch (a day or an hour): running it again replaces exactly that, and other runs keep what they wrote
+    for the same days. Records whose time cannot be read count under the batch's own day and hour.
+    """
+    day, hour = period_of("vtime", "day"), F.substring(period_of("vtime", "hour"), 9, 2)
+    own_hour = F.lit(batch[8:10] or None).cast("string")
     (
-        routed.withColumn("day", F.coalesce(period_of("vtime", "day"), F.lit("unknown")))
-        .write.partitionBy("kind", "day")
+        routed.withColumns({"day": F.coalesce(day, F.lit(batch[:8])), "hour": F.when(day.isNull(), own_hour).otherwise(hour)})
+        .write.partitionBy("kind", "day", "hour")
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(root)
+        .option("partitionOverwriteMode", "static")
+        .parquet(f"{root}/batch={batch}")
     )
 
 
@@ -35,6 +41,8 @@ def write_text(df: DataFrame, path: str, sep: str = FIELD_MARK) -> None:
         .option("quote", "")
         .option("emptyValue", "")
         .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
@@ -49,8 +57,14 @@ def read_table(
     return rows if period is None else rows.where(F.col("period") == period)
 
 
-def replace_table(rows: DataFrame, root: str, name: str) -> None:
-    """Write whole periods of a result table; a rerun gives the same rows again."""
+def replace_period(rows: DataFrame, root: str, name: str, period: str) -> None:
+    """Write one period of a result table in place of what was stored for it, also when no rows are left."""
+    names = [c for c in RESULT_TABLES[name].schema().names if c != "period"]
+    rows.where(F.col("period") == period).select(*names).write.mode("overwrite").parquet(f"{root}/{name}/period={period}")
+
+
+def _replace_periods(rows: DataFrame, root: str, name: str) -> None:
+    """Write all rows of the periods that occur in them."""
     (
         rows.select(*RESULT_TABLES[name].schema().names)
         .write.partitionBy("period")
@@ -61,13 +75,13 @@ def replace_table(rows: DataFrame, root: str, name: str) -> None:
 
 
 def upsert_table(fresh: DataFrame, root: str, name: str, hourly: bool = False) -> None:
-    """Merge cells into the rows of the same key; only periods with new cells are rewritten.
+    """Merge cells into the rows of the same key; only periods with new cells are rewritten, the null period like any other.
 
     The new cells are computed once. Old files stay until the rewritten periods are committed.
     """
-    spark = fresh.sparkSession
-    fresh = cut_lineage(fresh)
-    periods = [r["period"] for r in fresh.select("period").distinct().collect()]
-    stored = read_table(spark, root, name, hourly=hourly).where(F.col("period").isin(periods))
     keys = ["period", "level", *RESULT_TABLES[name].keys]
-    replace_table(overlay(stored, fresh, keys), root, name)
+    with kept(fresh, "upsert") as cells:
+        periods = cells.select(F.col("period").alias("p")).distinct()
+        stored = read_table(fresh.sparkSession, root, name, hourly=hourly)
+        stored = stored.join(periods, F.col("period").eqNullSafe(F.col("p")), "left_semi")
+        _replace_periods(overlay(stored, cells, keys), root, name)

@@ -149,3 +149,18 @@ def test_cleaning_moves_no_rows(spark, sites, ranges):
     routed = clean.route(clean.clean(frame, RULES, sites, ranges))
     plan = routed._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_each_filter_rule_is_on_its_own(spark):
+    frame = spark.createDataFrame([("GoodBot",), ("spamX",), ("bot7",), ("abab",)], "value string")
+    hit = lambda *rules: {r.value for r in frame.where(clean.blacklisted("value", list(rules))).collect()}
+    assert hit("(?i)SPAM.", "bot[0-9]*") == {"spamX", "bot7"}
+    assert hit("(x)(y)", r"(ab)\1") == {"abab"}
+
+
+def test_large_site_lists_are_salted(spark):
+    lines = spark.createDataFrame([("l1", "a"), ("l2", "b"), ("l3", None), ("l4", "a")], "line string, domain string")
+    sites = spark.createDataFrame([("a",), ("c",)], "domain string")
+    for limit in (None, 0):
+        got = {r.line: r.tracked for r in clean.mark_tracked(lines, sites, limit).collect()}
+        assert got == {"l1": True, "l2": False, "l3": False, "l4": True}

@@ -16,7 +16,7 @@ def con():
 def test_entry_module():
     import __spark_entry__ as e
 
-    assert e.queries().keys() == e.oracle_sql().keys() == CATALOG.keys()
+    assert e.queries().keys() >= CATALOG.keys() and e.oracle_sql().keys() >= CATALOG.keys()
 
 
 @pytest.mark.parametrize("name", CATALOG)

@@ -99,9 +99,10 @@ def test_configuration(spark):
     assert [r.domain for r in readers.tracked_sites(config).collect()] == ["xy"]
 
 
-def test_spread_leaves_wide_inputs_alone(spark):
-    assert readers.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 8
-    assert readers.spread(spark.range(10, numPartitions=20)).rdd.getNumPartitions() == 20
+def test_raw_log_is_dealt_out_only_when_asked(spark, tmp_path):
+    path = write(tmp_path / "log", "a\nb\n")
+    assert readers.raw_log(spark, path).rdd.getNumPartitions() == 1
+    assert readers.raw_log(spark, path, tasks=3).rdd.getNumPartitions() == 3
 
 
 def test_upsert_merges_cells_and_keeps_other_periods(spark, tmp_path):
@@ -125,7 +126,7 @@ def job_roots(spark, tmp_path_factory):
     fx.raw_lines(spark, SF).where(F.col("value").contains("2024-01-05")).write.text(log)
     rules = clean.Rules(fx.FILTER_RULES, fx.REWRITE_RULES)
     for _ in range(2):  # a rerun replaces the day
-        jobs.clean_logs(readers.raw_log(spark, log), rules, fx.sites(spark, SF), fx.ip_ranges(spark, SF), cleaned)
+        jobs.clean_logs(readers.raw_log(spark, log), rules, fx.sites(spark, SF), fx.ip_ranges(spark, SF), cleaned, "20240105")
     jobs.report(spark, cleaned, results, "20240105")
     jobs.report(spark, cleaned, results, "2024010507")
     return cleaned, results, log
@@ -138,7 +139,7 @@ def test_cleaning_job_equals_direct_streams(spark, job_roots):
     parsed = clean.clean(lines, rules, fx.sites(spark, SF), fx.ip_ranges(spark, SF))
     order = lambda frame: sorted(frame.collect(), key=str)
     for kind in schemas.STREAMS:
-        stored = readers.cleaned(spark, cleaned, kind, "20240105").drop("day")
+        stored = readers.cleaned(spark, cleaned, kind, "20240105").drop("day", "hour")
         direct = clean.stream(parsed, kind).select(stored.columns)
         assert order(stored) == order(direct) != [], kind
 
@@ -162,3 +163,85 @@ def test_hourly_job_has_text_cells(spark, job_roots):
     for r in rows:
         assert r.br is None or r.br.endswith("%")
         assert r.avgtime is None or r.avgtime.count(":") == 2
+
+
+def lines_of(spark, *times):
+    """Valid beacon lines at these time texts."""
+    mark = "\x1a"
+    query = "?wb=0&cd=24&re=&id=click&u=http%3A%2F%2Fclick.example.com%2Fp%2F1&lnt=&se=&kw=&adsfrom=&adsnew=&adsnum=&hot="
+    rows = [(mark.join(["10.0.0.1", "0", t, "GET", "/5a.gif", query, " 200", "0", "http://click.example.com/p/1", "Mozilla/5.0", f"wid=w{n}"]),) for n, t in enumerate(times)]
+    return spark.createDataFrame(rows, "value string")
+
+
+def run_batch(spark, root, batch, *times, rules=None):
+    rules = rules or clean.Rules()
+    return jobs.clean_logs(lines_of(spark, *times), rules, spark.createDataFrame([("click",)], "domain string"), fx.ip_ranges(spark, SF), root, batch)
+
+
+def stored_hits(spark, root, period=None):
+    return readers.cleaned(spark, root, "hits", period).count()
+
+
+def test_two_hours_of_a_day_stay_both(spark, tmp_path):
+    root = str(tmp_path / "c")
+    assert run_batch(spark, root, "2024010507", "2024-01-05 07:10:00", "2024-01-05 07:20:00") == ["20240105"]
+    run_batch(spark, root, "2024010508", "2024-01-05 08:10:00")
+    run_batch(spark, root, "2024010508", "2024-01-05 08:10:00")  # again
+    assert [stored_hits(spark, root, p) for p in ("2024010507", "2024010508", "20240105", "2024010509")] == [2, 1, 3, 0]
+
+
+def test_stragglers_leave_their_day_alone(spark, tmp_path):
+    root, results = str(tmp_path / "c"), str(tmp_path / "r")
+    run_batch(spark, root, "20240105", "2024-01-05 10:00:00", "2024-01-05 11:00:00", "2024-01-05 12:00:00")
+    days = run_batch(spark, root, "20240106", "2024-01-05 23:59:00", "2024-01-06 10:00:00")
+    assert days == ["20240105", "20240106"] and stored_hits(spark, root, "20240105") == 4
+    jobs.report(spark, root, results, "20240105")
+    assert [r.pv for r in writers.read_table(spark, results, "domain", "20240105").collect()] == [4]
+
+
+def test_a_rerun_that_rejects_everything_leaves_nothing(spark, tmp_path):
+    root, results = str(tmp_path / "c"), str(tmp_path / "r")
+    times = ("2024-01-05 10:00:00", "2024-01-05 11:00:00")
+    run_batch(spark, root, "20240105", *times)
+    jobs.report(spark, root, results, "20240105")
+    assert run_batch(spark, root, "20240105", *times, rules=clean.Rules(["Mozilla"])) == []
+    assert stored_hits(spark, root) == 0
+    rejected = readers.cleaned(spark, root, "rejects", "20240105").collect()
+    assert len(rejected) == 2 and {r.reason for r in rejected} != {None}
+    jobs.report(spark, root, results, "20240105")
+    assert writers.read_table(spark, results, "domain", "20240105").count() == 0
+
+
+def test_unreadable_times_count_under_the_batch(spark, tmp_path):
+    root = str(tmp_path / "c")
+    run_batch(spark, root, "2024010507", "2024-01-05 07:10:00", "no time")
+    run_batch(spark, root, "20240106", "no time")
+    assert [stored_hits(spark, root, p) for p in ("2024010507", "20240105", "20240106")] == [2, 2, 1]
+
+
+def test_upsert_keeps_other_rows_of_the_null_period(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    rows = lambda *r: spark.createDataFrame([(None, "domain", *x) for x in r], "period string, level string, domain string, pv long, uv long")
+    writers.upsert_table(rows(("a", 1, 2), ("b", 3, 4)), root, "domain")
+    writers.upsert_table(rows(("a", 9, None)), root, "domain")
+    got = writers.read_table(spark, root, "domain").collect()
+    assert sorted((r.period, r.domain, r.pv, r.uv) for r in got) == [(None, "a", 9, 2), (None, "b", 3, 4)]
+
+
+def test_a_failed_table_does_not_stop_the_report(spark, job_roots, tmp_path, monkeypatch):
+    real = jobs.result_table
+
+    def failing(name, *rest):
+        if name == "ads":
+            raise ValueError("no ads")
+        return real(name, *rest)
+
+    monkeypatch.setattr(jobs, "result_table", failing)
+    with pytest.raises(ExceptionGroup, match="ads"):
+        jobs.report(spark, job_roots[0], str(tmp_path / "r"), "20240105")
+    assert writers.read_table(spark, str(tmp_path / "r"), "heatmap", "20240105").count() > 0
+
+
+def test_hourly_job_writes_visited_hosts(spark, job_roots):
+    rows = writers.read_table(spark, f"{job_roots[1]}_hourly", "respondomain", "2024010507", hourly=True)
+    assert rows.count() > 0
