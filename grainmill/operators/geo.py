@@ -1,9 +1,9 @@
 """Address lookup: find the range that contains an address and attach its location.
 
-Ranges are cut at /16 boundaries, so an address meets only pieces of its own bucket. A dictionary
-whose measured size allows it is broadcast and the hits are not moved. A larger one is resolved on
-the distinct addresses with one window per bucket; a bucket holds at most 65,536 addresses and as
-many range starts, whatever the data looks like.
+Ranges are cut at /16 boundaries. For a dictionary whose measured size allows it, whole /16 and whole /24 blocks are looked up by their
+prefix and the rest is cut at /28, so an address meets at most 16 pieces however dense the dictionary is; all three are broadcast and the
+hits are not moved. A larger dictionary is resolved on the distinct addresses with one window per /16 bucket; a bucket holds at
+most 65,536 addresses and as many range starts, whatever the data looks like.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.location import UNKNOWN_AREA, UNKNOWN_COUNTRY, area_of, city_of, province_of
 from ..functions.scalars import ip_number
-from .sizing import broadcast_if_small
+from .sizing import broadcast_if_small, is_small
 
 # Rows of one address that a single task still joins easily.
 HOT_ROWS = 4_000_000
@@ -58,18 +58,52 @@ def _known(df: DataFrame, unknown: dict[str, Column]) -> DataFrame:
     return df.withColumns({c: F.when(miss, v).otherwise(F.col(c)) for c, v in unknown.items()})
 
 
+#: Prefix lengths of the lookup: bits left of an address, coarse to fine.
+CUTS = (16, 8, 4)
+
+
+def prefix_pieces(pieces: DataFrame) -> DataFrame:
+    """Pieces by (cut, prefix): whole /16 blocks, whole /24 blocks inside the others, and the rest cut at /28."""
+
+    def cut_at(df: DataFrame, bits: int) -> DataFrame:
+        blocks = df.select("*", F.explode(F.sequence(F.shiftright("low", bits), F.shiftright("high", bits))).alias("prefix"))
+        start = F.shiftleft("prefix", bits)
+        bounds = {"low": F.greatest("low", start), "high": F.least("high", start + F.lit((1 << bits) - 1))}
+        return blocks.withColumns(bounds)
+
+    out, rest = None, pieces.drop("bucket")
+    for bits in CUTS:
+        blocks = cut_at(rest, bits)
+        whole = F.col("high") - F.col("low") == (1 << bits) - 1
+        mine = blocks if bits == CUTS[-1] else blocks.where(whole)
+        mine = mine.withColumn("cut", F.lit(bits))
+        out = mine if out is None else out.unionByName(mine)
+        rest = blocks.where(~whole).drop("prefix")
+    return out
+
+
 def locate_by_broadcast(
     df: DataFrame, pieces: DataFrame, ip: str = "ip", unknown: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Left range join on bucket and bounds; adds the location columns of the pieces."""
-    left = df.withColumn("ip_num", ip_number(ip))
-    inside = (
-        (F.shiftright("ip_num", 16) == F.col("bucket"))
-        & (F.col("ip_num") >= F.col("low"))
-        & (F.col("ip_num") <= F.col("high"))
-    )
-    joined = _known(left.join(pieces, inside, "left"), unknown or _unknown_texts())
-    return joined.drop("ip_num", "bucket", "low", "high")
+    """Left lookup by prefix and bounds; adds the location columns of the pieces of ``prefix_pieces``."""
+    unknown = unknown or _unknown_texts()
+    joined = df.withColumn("ip_num", ip_number(ip))
+    for bits in CUTS:
+        names = {"prefix": f"p{bits}", "low": f"low{bits}", "high": f"high{bits}"} | {c: f"{c}{bits}" for c in unknown}
+        side = F.broadcast(pieces.where(F.col("cut") == bits).select(*[F.col(c).alias(n) for c, n in names.items()]))
+        inside = F.shiftright("ip_num", bits) == F.col(f"p{bits}")
+        if bits == CUTS[-1]:
+            inside = inside & (F.col("ip_num") >= F.col(f"low{bits}")) & (F.col("ip_num") <= F.col(f"high{bits}"))
+        joined = joined.join(side, inside, "left")
+    low = F.coalesce(*[F.col(f"low{b}") for b in CUTS]).alias("low")
+    # The block that matched decides, also where its text is null.
+    texts = []
+    for c in unknown:
+        value = F.when(F.col(f"low{CUTS[0]}").isNotNull(), F.col(f"{c}{CUTS[0]}"))
+        for b in CUTS[1:]:
+            value = value.when(F.col(f"low{b}").isNotNull(), F.col(f"{c}{b}"))
+        texts.append(value.alias(c))
+    return _known(joined.select(*df.columns, low, *texts), unknown).drop("low")
 
 
 def locate_by_window(
@@ -105,7 +139,8 @@ def locate_by_window(
     spread = F.concat(
         F.lit("#"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(65536)).cast("string")
     )
-    left = df.join(F.broadcast(hot), ip, "left").withColumn(
+    hot, _ = broadcast_if_small(hot)
+    left = df.join(hot, ip, "left").withColumn(
         "ip_key",
         F.when(F.col("hot_piece").isNotNull() | number.isNull(), spread).otherwise(F.col(ip)),
     )
@@ -116,9 +151,9 @@ def locate_by_window(
 
 
 def _locate(df: DataFrame, pieces: DataFrame, ip: str, unknown: dict[str, Column]) -> DataFrame:
-    pieces, small = broadcast_if_small(pieces)
-    if small:
-        return locate_by_broadcast(df, pieces, ip, unknown)
+    cut = prefix_pieces(pieces)
+    if is_small(cut):
+        return locate_by_broadcast(df, cut, ip, unknown)
     return locate_by_window(df, pieces, ip, unknown)
 
 

@@ -18,7 +18,12 @@ def measured_bytes(df: DataFrame) -> int:
     return row["b"] + row["n"] * ROW_OVERHEAD
 
 
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether the frame measures below the limit."""
+    return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+
+
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
     """The frame with a broadcast hint when it measures below the limit, and whether it does."""
-    small = measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+    small = is_small(df, limit)
     return (F.broadcast(df) if small else df), small

@@ -205,13 +205,14 @@ def wide_cells(
     family: Family,
     *,
     loyalty: bool = False,
+    area: bool | None = None,
     rates: str = "points",
     form: str = "long",
     channel: str | None = None,
 ) -> DataFrame:
     """Every cell of a family's rows: traffic, bounce, optional loyalty and dwell, merged by key."""
     parts = ("traffic", "bounce", "loyalty") if loyalty else ("traffic", "bounce")
-    visitors = visitor_cells(hits, family, parts, rates=rates, channel=channel)
+    visitors = visitor_cells(hits, family, parts, area=area, rates=rates, channel=channel)
     counts = [c for c in visitors.columns if c.endswith("bc")]
-    times = dwell_cells(dwell, family, form=form, channel=channel)
+    times = dwell_cells(dwell, family, area=area, form=form, channel=channel)
     return merge_cells([visitors.drop(*counts), times], ["period", "level", *family.keys])

@@ -62,6 +62,12 @@ def result_table(name: str, streams: Streams, hourly: bool = False) -> DataFrame
         keys = ["period", *table.keys]
         cells = visitors.channel_visitors(hits).drop("retbc", "newbc")
         rows = labelled(merge_cells([cells, visitors.channel_dwell(dwell)], keys))
+    elif name == "out_link":
+        # One family for all levels, so each stream is read once; only the totals carry area cells.
+        rates, form = ("percent", "clock") if hourly else ("points", "long")
+        rows = wide_cells(hits, dwell, FAMILIES["link"], area=True, rates=rates, form=form)
+        split = [c for c in rows.columns if c.startswith(("other_", "china_"))]
+        rows = rows.withColumns({c: F.when(F.col("level") == "total", F.col(c)) for c in split})
     else:
         rates, form = ("percent", "clock") if hourly else ("points", "long")
         frames = []

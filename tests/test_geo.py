@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from grainmill.operators import geo, sizing
 
@@ -90,3 +91,14 @@ def test_find_ranges(spark):
     rows = [(0, 1, "广东省广州市", "电信"), (2, 3, "北京市", "广电"), (4, 5, "上海市", "联通")]
     table = spark.createDataFrame(rows, "begin_ip long, end_ip long, country string, area string")
     assert sorted(r.begin_ip for r in geo.find_ranges(table, "广").collect()) == [0, 2]
+
+
+def test_dense_bucket_meets_few_pieces(spark):
+    """65,536 ranges of one address each in one /16: no address meets more than 16 pieces."""
+    ranges = spark.range(65536).selectExpr("id + 655360 as begin_ip", "id + 655360 as end_ip", "cast(id as string) as country", "'n' as area")
+    pieces = geo.prefix_pieces(geo.range_pieces(ranges))
+    assert pieces.groupBy("cut", "prefix").count().agg(F.max("count")).first()[0] == 16
+    frame = spark.createDataFrame([(7, "0.10.1.2"), (8, "0.11.0.0")], "i int, ip string")
+    assert result(geo.locate(frame, ranges)) == {7: ("258", "n"), 8: ("未知国家", "未知地区")}
+    whole = geo.prefix_pieces(geo.range_pieces(ranges.limit(0).union(spark.createDataFrame([(65536 * 3, 65536 * 9 + 255, "c", "a")], ranges.schema))))
+    assert sorted((r.cut, r["count"]) for r in whole.groupBy("cut").count().collect()) == [(8, 1), (16, 6)]
