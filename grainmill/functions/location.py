@@ -6,75 +6,62 @@ from pyspark.sql import Column, functions as F
 
 from .scalars import blank, col
 
-# Fixed values.
-MUNICIPALITIES = ["北京", "天津", "上海", "重庆"]
-TWO_CHARACTER_REGIONS = ["西藏", "新疆", "香港", "澳门"]
-THREE_CHARACTER_REGION = "内蒙古"
-PROVINCE_MARK, PREFECTURE_MARK, CITY_MARK = "省", "州", "市"
+# How a location text begins or is built, and the texts for unknown places and the local network.
+MUNICIPALITY = "^(?:北京|天津|上海|重庆)市"
+TWO_CHARACTER_REGION = "^(?:西藏|新疆|香港|澳门)"
+THREE_CHARACTER_REGION = "^内蒙古"
+IN_PROVINCE = "^.+省"
+WITH_PREFECTURE = "^.+省.{2,}州"
+WITH_CITY = "^.+省.{2,}市"
+WITH_PREFECTURE_AND_CITY = "^.+省.{2,}州.{2,}市"
 UNKNOWN_PROVINCE = "未知"
 UNKNOWN_COUNTRY = "未知国家"
 UNKNOWN_AREA = "未知地区"
 LOCAL_NETWORK_AREA = "CZ88.NET"
 
-_MUNICIPALITY = rf"^(?:{'|'.join(MUNICIPALITIES)}){CITY_MARK}"
-_TWO = rf"^(?:{'|'.join(TWO_CHARACTER_REGIONS)})"
-_THREE = rf"^{THREE_CHARACTER_REGION}"
-_IN_PREFECTURE_CITY = rf"^.+{PROVINCE_MARK}.{{2,}}{PREFECTURE_MARK}.{{2,}}{CITY_MARK}"
-_IN_PREFECTURE = rf"^.+{PROVINCE_MARK}.{{2,}}{PREFECTURE_MARK}"
-_IN_CITY = rf"^.+{PROVINCE_MARK}.{{2,}}{CITY_MARK}"
-_IN_PROVINCE = rf"^.+{PROVINCE_MARK}"
 
-
-def _rest(c: Column, mark: str) -> Column:
-    """Text after the first occurrence of the mark."""
-    return F.substr(c, F.instr(c, mark) + F.lit(1))
-
-
-def _span(c: Column, after: str, through: str) -> Column:
-    """Text after the first ``after`` up to and including the first ``through``."""
-    start = F.instr(c, after)
-    return F.substr(c, start + F.lit(1), F.greatest(F.instr(c, through) - start, F.lit(0)))
-
-
-def province_of(country: Column | str) -> Column:
+def location_parts(country: Column | str) -> Column:
+    """A struct of province, city and district of one location text; city and district are null where it names none."""
     c = col(country)
-    t = F.trim(c)
+    begins = lambda pattern: F.trim(c).rlike(pattern)
+    at = {mark: F.instr(c, mark) for mark in "省州市"}
+    between = lambda a, b: F.substr(c, at[a] + 1, F.greatest(at[b] - at[a], F.lit(0)))
+    beyond = lambda mark: F.substr(c, at[mark] + 1)
+    head = lambda n: F.substring(c, 1, n)
+    tail = lambda n: F.substr(c, F.lit(n + 1))
+    none = F.lit(None).cast("string")
+    region_city = F.when(begins(TWO_CHARACTER_REGION), tail(2)).when(begins(THREE_CHARACTER_REGION), tail(3))
+
+    def place(province: Column, city: Column, district: Column = none) -> Column:
+        return F.struct(
+            province.alias("province"), F.nullif(city, F.lit("")).alias("city"), F.nullif(district, F.lit("")).alias("district")
+        )
+
+    province = F.substring_index(c, "省", 1)
     return (
-        F.when(t.rlike(_MUNICIPALITY), F.substring(c, 1, 2))
-        .when(t.rlike(_IN_PROVINCE), F.substring_index(c, PROVINCE_MARK, 1))
-        .when(t.rlike(_TWO), F.substring(c, 1, 2))
-        .when(t.rlike(_THREE), F.substring(c, 1, 3))
-        .when(blank(c), F.lit(UNKNOWN_PROVINCE))
-        .otherwise(c)
+        F.when(begins(MUNICIPALITY), place(head(2), tail(3)))
+        .when(begins(WITH_PREFECTURE_AND_CITY), place(province, between("州", "市"), beyond("市")))
+        .when(begins(WITH_PREFECTURE), place(province, between("省", "州"), beyond("州")))
+        .when(begins(WITH_CITY), place(province, between("省", "市"), beyond("市")))
+        .when(begins(IN_PROVINCE), place(province, region_city))
+        .when(begins(TWO_CHARACTER_REGION), place(head(2), tail(2)))
+        .when(begins(THREE_CHARACTER_REGION), place(head(3), tail(3)))
+        .otherwise(place(F.when(blank(c), UNKNOWN_PROVINCE).otherwise(c), none))
     )
 
 
+def province_of(country: Column | str) -> Column:
+    return location_parts(country)["province"]
+
+
 def city_of(country: Column | str) -> Column:
     """City text, null when the location names none."""
-    c = col(country)
-    t = F.trim(c)
-    text = (
-        F.when(t.rlike(_MUNICIPALITY), F.substr(c, F.lit(4)))
-        .when(t.rlike(_IN_PREFECTURE_CITY), _span(c, PREFECTURE_MARK, CITY_MARK))
-        .when(t.rlike(_IN_PREFECTURE), _span(c, PROVINCE_MARK, PREFECTURE_MARK))
-        .when(t.rlike(_IN_CITY), _span(c, PROVINCE_MARK, CITY_MARK))
-        .when(t.rlike(_TWO), F.substr(c, F.lit(3)))
-        .when(t.rlike(_THREE), F.substr(c, F.lit(4)))
-    )
-    return F.nullif(text, F.lit(""))
+    return location_parts(country)["city"]
 
 
 def district_of(country: Column | str) -> Column:
     """District text, null when the location names none."""
-    c = col(country)
-    t = F.trim(c)
-    text = (
-        F.when(t.rlike(_MUNICIPALITY), F.lit(""))
-        .when(t.rlike(_IN_PREFECTURE_CITY), _rest(c, CITY_MARK))
-        .when(t.rlike(_IN_PREFECTURE), _rest(c, PREFECTURE_MARK))
-        .when(t.rlike(_IN_CITY), _rest(c, CITY_MARK))
-    )
-    return F.nullif(text, F.lit(""))
+    return location_parts(country)["district"]
 
 
 def area_of(area: Column | str) -> Column:
