@@ -47,3 +47,8 @@ def exit_pages(hits: DataFrame, keys: list[str], tie: str = "seq") -> DataFrame:
 def markers(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """How many values of each column are the markers ``1`` or ``-``."""
     return df.groupBy("period", *keys).agg(*[marker_count(c).alias(f"{c}_marks") for c in columns])
+
+
+def sized_groups(df: DataFrame, keys: list[str], least: int, most: int) -> DataFrame:
+    """Groups with a number of rows ``n`` in a closed interval."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(least, most))

@@ -179,3 +179,13 @@ def with_location(df: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame
 def find_ranges(ranges: DataFrame, text: str) -> DataFrame:
     """Ranges whose country or area text contains a fragment."""
     return ranges.where(F.col("country").contains(text) | F.col("area").contains(text))
+
+
+def hits_in_ranges(ranges: DataFrame, hits: DataFrame, ip: str = "ip") -> DataFrame:
+    """begin_ip, end_ip and ``hit_count`` of every range, 0 included; equal addresses are counted before they meet a range."""
+    per_ip = hits.groupBy(ip_number(ip).alias("n")).agg(F.count(F.lit(1)).alias("c"))
+    buckets = F.explode(F.sequence(F.shiftright("begin_ip", 16), F.shiftright("end_ip", 16)))
+    spread = ranges.select("begin_ip", "end_ip", buckets.alias("bucket"))
+    inside = (F.col("bucket") == F.shiftright("n", 16)) & F.col("n").between(F.col("begin_ip"), F.col("end_ip"))
+    found = spread.join(per_ip, inside, "left").groupBy("begin_ip", "end_ip")
+    return found.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("hit_count"))

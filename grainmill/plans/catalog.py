@@ -702,14 +702,7 @@ def location_parts(spark, d):
     f"on {_IPN} between begin_ip and end_ip where contains(country,'州') or contains(range_area,'州') group by begin_ip, end_ip",
 )
 def location_search(spark, d):
-    ranges = geo.find_ranges(fx.ip_ranges(spark, d), "州")
-    points = _addresses(spark, d).withColumn("n", sc.ip_number("ip"))
-    per_ip = points.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
-    inside = (F.col("bucket") == F.shiftright("n", 16)) & F.col("n").between(F.col("begin_ip"), F.col("end_ip"))
-    buckets = F.explode(F.sequence(F.shiftright("begin_ip", 16), F.shiftright("end_ip", 16)))
-    spread = ranges.select("begin_ip", "end_ip", buckets.alias("bucket"))
-    found = spread.join(per_ip, inside, "left").groupBy("begin_ip", "end_ip")
-    return found.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("hit_count"))
+    return geo.hits_in_ranges(geo.find_ranges(fx.ip_ranges(spark, d), "州"), _addresses(spark, d))
 
 
 @register(
@@ -824,8 +817,7 @@ def metric_inner_join(spark, d):
     f"{o.base('hits')} select period, domain, wid, count(*) as n from hits group by all having count(*) between 2 and 4",
 )
 def group_size_filter(spark, d):
-    sizes = fx.hits(spark, d).groupBy("period", "domain", "wid").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.where(F.col("n").between(2, 4))
+    return behaviour.sized_groups(fx.hits(spark, d), ["period", "domain", "wid"], 2, 4)
 
 
 @register(
