@@ -1006,3 +1006,36 @@ def missing_stream(spark, d):
     none = readers.cleaned(spark, _folder(spark, "none"), "click_marks").select(F.col("day").alias("period"), F.lit(1).alias("mark"))
     rows = fx.hits(spark, d).select("period", F.lit(None).cast("int").alias("mark")).unionByName(none)
     return rows.groupBy("period").agg(F.sum(F.when(F.col("mark").isNull(), 1).otherwise(0)).alias("hits"), F.count("mark").alias("marks"))
+
+
+def _older_hits(layout: str, count: Query) -> Query:
+    """Hits through a text file in an older layout, then a report of today's operators."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        path = _folder(spark, "older")
+        names = [c for c in OLDER_STREAMS[layout].names if c in fx.EXPRESSIONS]
+        time, beacon = F.substring(F.col("ts").cast("string"), 1, 19).alias("vtime"), F.lit("/5a.gif").alias("path")
+        events = fx.events(spark, d).where(f"not ({fx.IS_CLOSE})")
+        rows = events.select(*[F.expr(fx.EXPRESSIONS[c]).alias(c) for c in names], time, beacon)
+        if layout == "hits_2013_host":
+            rows = rows.withColumn("new", F.coalesce(F.col("new").cast("string"), F.lit("-")))
+        write_text(rows.select(*OLDER_STREAMS[layout].names), path)
+        return count(with_period(readers.older_stream(spark, path, layout)))
+
+    return run
+
+
+register("older_host_traffic", CATALOG["traffic_host"].sql)(
+    _older_hits("hits_2013_host", lambda hits: behaviour.views_and_visitors(hits, ["domain", "respondomain"]))
+)
+register("older_visitor_channels", CATALOG["visitor_channel_traffic"].sql)(
+    _older_hits(
+        "hits_2013_visitor",
+        lambda hits: visitors.channel_visitors(hits).select("period", "domain", "channel", "retpv", "retuv", "newpv", "newuv"),
+    )
+)
+register("older_region_traffic", CATALOG["traffic_province"].sql)(
+    _older_hits(
+        "hits_2014_region", lambda hits: visitor_cells(hits, FAMILIES["region"], ("traffic",)).where("level = 'province'")
+    )
+)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.scalars import ip_number, whole_number
 from ..operators.clean import Rules
-from ..schemas import KINDS, struct
+from ..schemas import KINDS, OLDER_STREAMS, STREAMS, struct
 
 FIELD_MARK = "`"
 
@@ -58,6 +58,23 @@ def _typed(field: T.StructField) -> Column:
     return F.col(field.name).try_cast(field.dataType)
 
 
+def older_stream(spark: SparkSession, path: str, layout: str, sep: str = FIELD_MARK) -> DataFrame:
+    """A text file in one of the older layouts as today's stream: same columns and types, null where the layout has none.
+
+    ``new`` is read as a number, so the ``-`` of a returning visitor is null as in today's streams.
+    """
+    rows = delimited(spark, path, OLDER_STREAMS[layout], sep)
+    kind = layout.split("_")[0]
+
+    def column(field: T.StructField) -> Column:
+        if field.name not in rows.columns:
+            return F.lit(None).cast(field.dataType)
+        same = rows.schema[field.name].dataType == field.dataType
+        return F.col(field.name) if same else whole_number(field.name, field.dataType.simpleString())
+
+    return rows.select(*[column(f).alias(f.name) for f in STREAMS[kind]])
+
+
 def lines(spark: SparkSession, path: str, column: str = "url") -> DataFrame:
     """One text column per line."""
     return spark.read.text(path).withColumnRenamed("value", column)
