@@ -92,8 +92,11 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SH
 
     ``start`` is the place of its first word, ``copies`` and ``blocks`` are the q and n of the shard, ``turn`` its r.
     """
-    digest = F.md5(F.concat_ws("/", F.lit(key), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sizes = stored(docs.select("doc_id", "source", F.size(words("text")).cast("long").alias("size")), "mixing")
+    # Documents without an id are told apart by their texts, so that they are spread over the shards too.
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary")), F.lit(""))
+    digest = F.md5(F.concat_ws("/", F.lit(key), ident).cast("binary"))
+    sizes = docs.select("doc_id", "source", F.size(words("text")).cast("long").alias("size"), digest.alias("digest"))
+    sizes = stored(sizes, "mixing")
     sources = source_targets(sizes)
     shards_of = F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))
     sources = apportion(
@@ -101,13 +104,13 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SH
         F.floor(F.sum("source_size").over(Window.partitionBy("one")) / block_words + 0.5),
         F.col("target"), F.col("target") * 0 + 2**62, ["one"], [F.col("source").asc_nulls_last()],
     ).drop("one")
-    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    number = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
     about = sources.select(
         F.col("source").alias("s_source"), "source_size", "target", "n_shards", F.col("quota").alias("source_quota"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s_salt"),
     )
     placed = (
-        sizes.withColumns({"digest": digest, "salt": F.pmod(number, F.lit(SALTS)).cast("int")})
+        sizes.withColumns({"salt": F.pmod(number, F.lit(SALTS)).cast("int")})
         .join(about, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("salt") == F.col("s_salt")))
         .withColumn("shard", F.pmod(number, F.col("n_shards")))
         .drop("s_source", "s_salt", "salt", "n_shards")

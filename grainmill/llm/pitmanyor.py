@@ -8,7 +8,7 @@ table sends one customer to the parent, which is sampled in the same way. The pr
 
     P(w | u) = (c_uw - d t_uw) / (s + c_u) + (s + d t_u) / (s + c_u) * P(w),   P(w) likewise from the tables and 1 / (V + 1).
 
-How it runs. Texts are dealt into chunks by doc_id, words into buckets. Chunks and buckets exchange packed arrays:
+How it runs. Texts are dealt into chunks, words into buckets. Chunks and buckets exchange packed arrays:
 
 1. chunk -> word bucket: its distinct words with training counts; back come a number for each known word and its count;
 2. chunk -> context bucket: its distinct pairs of known words with training counts. A context of more than ``hot`` customers is split by its
@@ -351,7 +351,7 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int =
     n_chunks, n = max(1, -(-total // chunk_bytes)), max(1, -(-total // bucket_bytes))
     hot = hot or max(50_000, train_tokens // (2 * n))
     texts = docs.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).cast("int").alias("chunk"), "doc_id", "text", held_out("doc_id").alias("held")
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).cast("int").alias("chunk"), "doc_id", "text", held_out("doc_id").alias("held")
     ).groupBy("chunk")
     words = texts.applyInArrow(_send_words(n), MESSAGE)
     numbers = words.groupBy("target").applyInArrow(_number_words, MESSAGE)

@@ -112,8 +112,8 @@ x_s4 as (select source, count(*) as won from (select source, row_number() over (
   where r <= (select greatest(max(seats) - sum(low), 0) from x_s2) group by source),
 x_quota as (select s.*, low + coalesce(won, 0) as source_quota from x_s2 s left join x_s4 w on s.source is not distinct from w.source),
 x_key as (
-  select r.*, source_size, target, source_quota, md5('{mixing.KEY}/' || coalesce(doc_id::varchar, '')) as digest,
-    ('0x' || substr(md5('{mixing.KEY}/' || coalesce(doc_id::varchar, '')), 1, 8))::bigint % n_shards as shard
+  select r.*, source_size, target, source_quota, md5('{mixing.KEY}/' || coalesce(doc_id::varchar, md5(text), '')) as digest,
+    ('0x' || substr(md5('{mixing.KEY}/' || coalesce(doc_id::varchar, md5(text), '')), 1, 8))::bigint % n_shards as shard
   from x_rows r join x_quota q on r.source is not distinct from q.source
 ),
 x_h as (

@@ -15,8 +15,8 @@ gets back the few that matter, so a passage that fills a third of the corpus cos
 
 The texts are exchanged once; the three passes read the same exchange. A lost executor's part is computed again.
 
-Defined results: null text has no words; a null doc_id comes after all others; rows that share a doc_id are taken in the order of
-their texts; a repeated row loses all windows that its first copy has; an empty table gives no rows; other columns are dropped.
+Defined results: null text has no words; null doc_ids come after all others, in an order that follows from their texts alone; rows that
+share a doc_id are taken in the order of their texts; a repeated row loses all windows that its first copy has; an empty table gives no rows; other columns are dropped.
 doc_id is an integer.
 """
 
@@ -156,7 +156,7 @@ def _send_windows(n: int):
 def _later_windows(table: pa.Table) -> pa.Table:
     """Windows that a chunk does not have first."""
     keys, doc, row = _unpack(table, np.uint64, np.int64)
-    order = np.lexsort((doc, keys))
+    order = np.lexsort((table["chunk"].to_numpy()[row], doc, keys))
     first = _runs(keys[order])
     later = np.ones(len(keys), bool)
     later[order[first]] = False
@@ -208,10 +208,11 @@ def _cut(n: int):
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text) with chunks of about so many bytes by doc_id, and the bytes of all texts."""
+    """(chunk, doc_id, text) with chunks of about so many bytes by doc_id (by text without one), and the bytes of all texts."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // chunk_bytes))
-    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("chunk"), "doc_id", "text"), total
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    return docs.select(F.pmod(key, F.lit(n)).cast("int").alias("chunk"), "doc_id", "text"), total
 
 
 def without_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
