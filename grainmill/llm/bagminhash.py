@@ -7,12 +7,14 @@ to their weighted Jaccard similarity. A process stops when its time passes the l
 
 1. Texts of equal words are one node (its smallest doc_id). Nodes get 128 registers, in 32 bands of 4: at a similarity of 0.8 two
    nodes share no band with a chance of 5e-8.
-2. Every member of a band bucket is paired with the bucket's smallest node; pairs are checked on their whole multisets.
-3. Links give components. Buckets that still hold several of them are looked at again: all pairs across components whose
-   registers agree on at least LEAST_AGREE (0.8 less 4.5 standard errors) are checked too. Buckets of more than LARGE nodes
-   are first split by each of the other bands, so no group has to fit into a task.
+2. Every bucket has a hub, the member whose buckets are the fullest: in a group of copies this is the one most like the others. Every node is
+   checked against the hub it shares most buckets with, on the whole multisets: one pair per node.
+3. Links give components. In buckets that still hold several of them, all pairs across components whose registers agree on at least
+   LEAST_AGREE (0.8 less 4.5 standard errors) are checked inside the bucket, each pair in the first bucket it shares, and only links come
+   out. Buckets of more than LARGE nodes are first split by each of the other bands, so no group has to fit into a task.
 
-No pair within a component is ever needed, so a group of any number of copies costs one pair per member and band.
+No pair within a component is ever needed, so copies cost one pair each, and pairs that are no link are never written anywhere. Multisets are
+kept as 32 bits per shingle and occurrence; two texts of 1,000 words then have a chance match with a probability of 2e-4.
 
 Defined results: texts without words are classes of their own; texts of one to four words have one shingle, the whole text; rows that
 share a doc_id are one document; rows with a null doc_id get a null class; an empty table gives no rows; doc_id is an integer.
@@ -21,11 +23,13 @@ share a doc_id are one document; rows with a null doc_id get a null class; an em
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.sizing import broadcast_if_small
 from . import rolling
 from .common import stored
 from .components import components
@@ -118,51 +122,93 @@ def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.lexsort((value, doc))
             value = value[order]
             cuts = np.searchsorted(doc[order], np.arange(end - begin + 1))
-            sets = pa.array([value[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+            sets = pa.array([np.sort(value[a:b].astype(np.uint32)).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node").slice(begin, end - begin), sets], ["node", "bag"])
 
 
+def alike(x: bytes, y: bytes) -> bool:
+    """Whether two packed multisets overlap by at least SIMILARITY."""
+    if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
+        return False
+    a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+    both = int(rolling.found(a, b).sum())
+    return both >= SIMILARITY * (len(a) + len(b) - both) - 1e-9
+
+
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose multisets overlap enough."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("bag_a").to_pylist(), batch.column("bag_b").to_pylist(), strict=True):
-            if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
-                keep.append(False)
-                continue
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = int(rolling.found(a, b).sum())
-            keep.append(both >= SIMILARITY * (len(a) + len(b) - both) - 1e-9)
+        keep = [alike(x, y) for x, y in zip(batch.column("bag_a").to_pylist(), batch.column("bag_b").to_pylist(), strict=True)]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def checked_links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes with a similarity of at least SIMILARITY, from the whole texts of their nodes.
+def bags_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and packed multiset of the documents in ``nodes``; their list is broadcast where it measures small."""
+    wanted, _ = broadcast_if_small(nodes.select(F.col("node").alias("doc_id")))
+    rows = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    bags = rows.select(F.col("doc_id").cast("long").alias("node"), "text").mapInArrow(_multisets, "node long, bag binary")
+    return bags.where("octet_length(bag) > 0")
 
-    Only texts in some pair are read again. Bags go to pairs by two joins; a node in many pairs is split by the adaptive skew join.
-    """
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    bags = docs.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").cast("long").alias("node"), "text").mapInArrow(_multisets, "node long, bag binary")
-    bags = stored(bags.where("octet_length(bag) > 0"), "bags")
+
+def checked_links(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that are alike. A node in many pairs is split by the adaptive skew join."""
     rows = pairs.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b")), "b")
     rows = rows.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")), "a")
     return rows.select("a", "b", "bag_a", "bag_b").mapInArrow(_checked, "a long, b long").distinct()
 
 
-def _cross_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of a bucket across components whose registers agree often enough, but for those with the smallest node."""
-    table = table.sort_by("node")
-    node, label = table["node"].to_numpy(), table["label"].to_numpy()
-    registers = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
-    left, right = [], []
-    for i in range(len(node) - 1):
-        other = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
-        if len(other):
-            near = other[(registers[other] == registers[i]).mean(axis=1) >= LEAST_AGREE]
-            left.append(np.full(len(near), node[i]))
-            right.append(node[near])
-    join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return pa.table({"a": pa.array(join(left), pa.int64()), "b": pa.array(join(right), pa.int64())})
+class Bucket:
+    """Members of a bucket, and for each one the later members of other components that may be alike."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table.sort_by("node")
+        self.node, self.label = self.table["node"].to_numpy(), self.table["label"].to_numpy()
+        self.band = self.table["band"][0].as_py()
+        self.registers = np.frombuffer(b"".join(self.table["registers"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
+
+    def candidates(self) -> Iterator[tuple[int, np.ndarray]]:
+        for i in range(len(self.node) - 1):
+            other = np.flatnonzero((self.label[i + 1 :] != self.label[i]) & (self.node[i + 1 :] != self.node[i])) + i + 1
+            if len(other):
+                same = self.registers[other] == self.registers[i]
+                share = same.mean(axis=1)
+                near = share >= LEAST_AGREE
+                if near.any():
+                    # A pair that shares an earlier band was looked at there; split buckets (band -1) look at all.
+                    whole = same[near].reshape(-1, BANDS, REGISTERS // BANDS).all(axis=2)
+                    first = ~whole[:, : max(self.band, 0)].any(axis=1)
+                    yield i, other[near][first][np.argsort(-share[near][first], kind="stable")]
+
+
+def _with_candidates(table: pa.Table) -> pa.Table:
+    """Members of a bucket that are in some candidate pair."""
+    bucket = Bucket(table)
+    used = np.zeros(len(bucket.node), bool)
+    for i, others in bucket.candidates():
+        used[others] = True
+        used[i] |= len(others) > 0
+    return bucket.table.select(["bucket", "band", "node", "label"]).filter(pa.array(used))
+
+
+def _cross_links(table: pa.Table) -> pa.Table:
+    """Links across components of a bucket; pairs that earlier links have joined are not looked at."""
+    bucket = Bucket(table)
+    bags = bucket.table["bag"].to_pylist()
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in parent:
+            x = parent[x]
+        return x
+
+    links = []
+    for i, others in bucket.candidates():
+        for j in others.tolist():
+            p, q = root(int(bucket.label[i])), root(int(bucket.label[j]))
+            if p != q and alike(bags[i], bags[j]):
+                parent[max(p, q)] = min(p, q)
+                links.append((int(bucket.node[i]), int(bucket.node[j])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
 def _band_values(registers: str) -> Column:
@@ -173,22 +219,27 @@ def _band_values(registers: str) -> Column:
     )
 
 
-def unsettled(buckets: DataFrame, labels: DataFrame, large: int = LARGE) -> DataFrame:
-    """Members (bucket, node, label) of buckets with several components, large ones split by the other bands.
+def unsettled(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, large: int = LARGE) -> DataFrame:
+    """Members (bucket, band, node, label) of buckets with several components; parts of large ones have band -1.
 
-    ``buckets`` has bucket, node and bands; a pair that shares one band shares another with the same near-certainty.
+    A large bucket is split by each of the other bands: a pair that shares one band shares another with the same near-certainty. What is
+    still large is dealt into blocks, and every two blocks meet, so no task gets more than two blocks.
     """
-    rows = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    for _ in range(4):
-        mixed = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-        mixed = mixed.where("lo <> hi and n > 2").select("bucket", (F.col("n") > large).alias("many"))
-        rows = stored(rows.join(mixed, "bucket"), "unsettled")
-        if rows.where("many").isEmpty():
-            break
-        finer = rows.where("many").select(F.explode("bands").alias("band"), "bucket", "node", "bands", "label")
-        finer = finer.select(F.xxhash64("bucket", "band").alias("bucket"), "node", "bands", "label")
-        rows = rows.where("not many").select("bucket", "node", "bands", "label").unionByName(finer)
-    return rows
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        groups = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
+        return stored(rows.join(groups.where("lo <> hi").select("bucket", "n"), "bucket"), "unsettled")
+
+    columns = ["bucket", "band", "node", "label"]
+    rows = mixed(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    finer = rows.where(F.col("n") > large).join(nodes.select("node", "bands"), "node").select("*", F.explode("bands").alias("other"))
+    finer = mixed(finer.select(F.xxhash64("bucket", "other").alias("bucket"), F.lit(-1).alias("band"), "node", "label"))
+    blocks = F.ceil(F.col("n") / large)
+    block = F.pmod(F.xxhash64("node"), blocks)
+    met = finer.where(F.col("n") > large).select("*", block.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("with"))
+    met = met.withColumn("bucket", F.xxhash64("bucket", F.least("own", "with"), F.greatest("own", "with")))
+    parts = [rows.where(F.col("n") <= large), finer.where(F.col("n") <= large), met]
+    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -198,24 +249,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = stored(signed, "signatures")
     known = signed.where("doc_id is not null and content is not null")
     owner = stored(known.groupBy("content").agg(F.min("doc_id").alias("node")), "nodes")
-    nodes = known.join(owner, (known.doc_id == owner.node) & (known.content == owner.content), "left_semi").dropDuplicates(["doc_id", "content"])
+    nodes = known.join(owner, (known.doc_id == owner.node) & (known.content == owner.content), "left_semi")
     nodes = nodes.select(F.col("doc_id").alias("node"), "registers", _band_values("registers").alias("bands"))
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    smallest = banded.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    members = stored(banded.join(smallest, "bucket"), "buckets")
-    pairs = members.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    links = stored(checked_links(stored(pairs, "pairs"), docs), "links")
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
+    full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stored(banded.join(full, "bucket"), "buckets")
+    rank = members.groupBy("node").agg(F.sum("n").alias("rank"))
+    best = F.struct("rank", (-F.col("node")).alias("m"), "node")
+    hubs = members.join(rank, "node").groupBy("bucket").agg(F.max(best)["node"].alias("hub"))
+    shared = members.join(hubs, "bucket").where("hub <> node").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
+    pairs = shared.groupBy("node").agg(F.max(F.struct("n", (-F.col("hub")).alias("m"), "hub"))["hub"].alias("a"))
+    bags = stored(bags_of(members.select("node").distinct(), docs), "bags")
+    links = stored(checked_links(pairs.select("a", F.col("node").alias("b")), bags), "links")
     labels = components(links)
-    again = members.select("bucket", "node").join(nodes.select("node", "bands"), "node")
-    open_rows = unsettled(again, labels).select("bucket", "node", "label").distinct().join(nodes.select("node", "registers"), "node")
-    more = open_rows.select("bucket", "node", "label", "registers").groupBy("bucket").applyInArrow(_cross_pairs, "a long, b long").distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    found = stored(checked_links(more, docs), "links")
+    layout = "bucket long, band int, node long, label long"
+    open_rows = unsettled(members.select("bucket", "band", "node"), labels, nodes)
+    signs = nodes.select("node", "registers")
+    near = open_rows.join(signs, "node").select("bucket", "band", "node", "label", "registers").groupBy("bucket").applyInArrow(_with_candidates, layout)
+    near = stored(near, "candidates").join(signs, "node").join(bags, "node").select("bucket", "band", "node", "label", "registers", "bag")
+    found = stored(near.groupBy("bucket").applyInArrow(_cross_links, "a long, b long").distinct(), "links")
     if not found.isEmpty():
         labels = components(links.union(found))
     classes = owner.join(labels, "node", "left").select("content", F.coalesce("label", "node").alias("class_id"))
     placed = signed.select("doc_id", "content").join(classes, "content", "left")
-    placed = placed.select("doc_id", F.when(F.col("content").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    of_its_own = F.col("content").isNull() | F.col("doc_id").isNull()
+    placed = placed.select("doc_id", F.when(of_its_own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
     return placed.select(F.col("doc_id").cast(kind), F.col("class_id").cast(kind))
 
 
