@@ -159,19 +159,17 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     Documents of which nothing is taken go. Rows with the same doc_id, source and size are told apart by their order. size,
     source_size, target and taken are added, in place of columns of these names; n_chars, where there is one, is counted anew.
     """
-    alike = Window.partitionBy("doc_id", "source", "size")
-    plan = mixed(docs, block_words).where("taken > 0")
+    key = F.sha2(F.to_json(F.struct("doc_id", "source", "size")), 256)
+    alike = Window.partitionBy("k")
+    plan = mixed(docs, block_words).where("taken > 0").withColumn("k", key)
     plan = plan.withColumn("m_nth", F.row_number().over(alike.orderBy("start"))).select(
-        F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "m_nth",
-        "source_size", "target", "taken", "start", "blocks", "copies", "turn",
-    )
-    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text", words("text").alias("w"))
-    own = own.withColumn("size", F.size("w").cast("long")).withColumn("nth", F.row_number().over(alike.orderBy("text")))
-    both = own.join(
-        plan,
-        F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source"))
-        & (F.col("size") == F.col("m_size")) & (F.col("nth") == F.col("m_nth")),
-    )
+        F.col("k").alias("m_k"), "m_nth", "source_size", "target", "taken", "start", "blocks", "copies", "turn"
+    )
+    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", F.size(words("text")).cast("long").alias("size"))
+    own = own.select("row", "size", key.alias("k")).withColumn("nth", F.row_number().over(alike.orderBy("row.text")))
+    # Both sides are dealt by k alone, so the texts are moved once, for their order and for the join.
+    both = own.join(plan, (F.col("k") == F.col("m_k")) & (F.col("nth") - F.col("m_nth") == 0))
+    both = both.withColumn("w", words(F.col("row.text")))
     first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
 
     def piece(block: Column) -> Column:
