@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stored, words
+from .common import bind, stored, words
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
@@ -169,16 +169,17 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     own = own.select("row", "size", key.alias("k")).withColumn("nth", F.row_number().over(alike.orderBy("row.text")))
     # Both sides are dealt by k alone, so the texts are moved once, for their order and for the join.
     both = own.join(plan, (F.col("k") == F.col("m_k")) & (F.col("nth") - F.col("m_nth") == 0))
-    both = both.withColumn("w", words(F.col("row.text")))
     first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
 
-    def piece(block: Column) -> Column:
+    def piece(w: Column, block: Column) -> Column:
         begin = F.greatest(block * block_words - F.col("start"), F.lit(0))
         end = F.least((block + 1) * block_words - F.col("start"), F.col("size"))
-        part = F.slice("w", (begin + 1).cast("int"), (end - begin).cast("int"))
+        part = F.slice(w, (begin + 1).cast("int"), (end - begin).cast("int"))
         return F.flatten(F.array_repeat(part, block_copies(block).cast("int")))
 
-    both = both.withColumn("mixed", F.array_join(F.flatten(F.transform(F.sequence(first, last), piece)), " "))
+    # The words are bound, as a lambda would split the text again for every block.
+    taken = bind(words(F.col("row.text")), lambda w: F.flatten(F.transform(F.sequence(first, last), lambda block: piece(w, block))))
+    both = both.withColumn("mixed", F.array_join(taken, " "))
     made = {"text": F.col("mixed"), "n_chars": F.length("mixed").cast("long")}
     about = ["size", "source_size", "target", "taken"]
     kept = [made.get(c, F.col("row")[c]).alias(c) for c in docs.columns if c not in about]
