@@ -95,3 +95,19 @@ def test_leaks_of_odd_rows(spark):
     assert got == sorted([("1", 0), ("2", 0), ("None", 1), ("3", 1), ("3", 0), ("4", 0)])
     assert decontaminate.benchmark_hits(frame(spark, rows), bench.limit(0)).where("size(hits) > 0").count() == 0
     assert decontaminate.benchmark_hits(frame(spark, []), bench).count() == 0
+
+
+def test_exact_copies_of_short_items(spark, prose):
+    """Items of 1 to 13 common words among rarer words of other items: their cosine with the passage is small."""
+    rnd = random.Random(11)
+    common = sorted(set(prose(400)), key=len)[:60]
+    items = [[rnd.choice(common) for _ in range(n)] for n in [*range(1, 14)] * 4] + [prose(100)[::2] for _ in range(60)]
+    rare = sorted({w for item in items[52:] for w in item} - set(common))
+    docs = [["start", *rnd.choices(rare, k=rnd.randrange(20, 60)), *items[k % 52], *rnd.choices(rare, k=40)] for k in range(156)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    rows = frame(spark, [(k, " ".join(w)) for k, w in enumerate(docs)])
+    got = {r.doc_id: {h.item_id: h.share for h in r.hits} for r in decontaminate.benchmark_hits(rows, bench).collect()}
+    for k, words in enumerate(docs):
+        for i, item in enumerate(items):
+            holds = f" {' '.join(item)} " in f" {' '.join(words)} "
+            assert got[k].get(i) == 1 if holds else len(item) >= 8 or i not in got[k], (k, item)
