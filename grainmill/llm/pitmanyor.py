@@ -12,7 +12,8 @@ How it runs. Texts are dealt into chunks, words into buckets. Chunks and buckets
 
 1. chunk -> word bucket: its distinct words with training counts; back come a number for each known word and its count;
 2. chunk -> context bucket: its distinct pairs of known words with training counts. A context of more than ``hot`` customers is split by its
-   dishes into parts; its number of customers is known from step 1, and a part takes the other parts' tables to be like its own;
+   dishes into parts; its number of customers is known from step 1. Each part sends one small row, the tables it expects for GRID numbers
+   of tables in the whole context; where their sum equals that number the sampler is at rest, and every part gets this number back;
 3. context bucket: seats the pairs; each pair's discounted count and each part's tables go back to the chunks, the tables of each word go
    on to its word bucket;
 4. word bucket: seats the parent restaurant and answers the chunks; totals are one row that goes to every chunk;
@@ -40,6 +41,7 @@ from .common import words as word_array
 STRENGTH, DISCOUNT = 2.0, 0.75
 PARENT_STRENGTH, PARENT_DISCOUNT = 10.0, 0.7
 BURN, SAMPLES = 1, 3
+GRID = 48
 FOLDS, HELD_OUT = 7, 2
 CHUNK_BYTES = 12 << 20
 BUCKET_BYTES = 8 << 20
@@ -48,7 +50,7 @@ ONE_BY_ONE = 64
 #: Arrays of one, as numpy warns when a single number wraps.
 _GOLD, _WORD, _PART = (np.array([x], np.uint64) for x in (0x9E3779B97F4A7C15, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 MESSAGE = "kind int, target int, bucket int, keys binary, more binary, s1 double, s2 double, s3 double"
-PAIRS_BACK, TABLES_ON, WORDS_BACK, TOTALS = 1, 2, 3, 4
+PAIRS_BACK, TABLES_ON, WORDS_BACK, TOTALS, SETTLED = 1, 2, 3, 4, 5
 
 
 def held_out(doc_id: str) -> Column:
@@ -202,13 +204,59 @@ def seated(customers: np.ndarray, weight: np.ndarray, discount: float, seed: np.
     return np.minimum(tables, customers)
 
 
-def seat_contexts(context: np.ndarray, total: np.ndarray, customers: np.ndarray, parent: np.ndarray, seed: np.ndarray):
-    """Mean tables of every pair (``context`` in order), and the last sample; ``total`` are the context's customers in all parts."""
+def expected(customers: np.ndarray, weight: np.ndarray, discount: float) -> np.ndarray:
+    """Mean tables that ``seated`` gives."""
+    tables = np.ones(len(customers))
+    open_dishes = np.flatnonzero(customers > 1)
+    at = 1
+    while len(open_dishes):
+        run = np.minimum(1 if at < ONE_BY_ONE else at // 16, customers[open_dishes] - at)
+        new = weight[open_dishes]
+        tables[open_dishes] += run * new / (new + at - discount * tables[open_dishes])
+        at += 1 if at < ONE_BY_ONE else at // 16
+        open_dishes = open_dishes[customers[open_dishes] > at]
+    return np.minimum(tables, customers)
+
+
+def _grid(total: np.ndarray) -> np.ndarray:
+    """Numbers of tables from 1 to the customers of each context, in equal ratios: GRID columns."""
+    return np.maximum(total, 2)[:, None] ** np.linspace(0, 1, GRID)
+
+
+def expected_tables(context: np.ndarray, total: np.ndarray, customers: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """Tables that the given dishes of each context take together, for each number of ``_grid`` that the whole context has."""
+    # Dishes of equal customers and parent take equally many.
+    kinds = np.lexsort((parent, customers, context))
+    c, k, p = context[kinds], customers[kinds], parent[kinds]
+    first = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (k[1:] != k[:-1]) | (p[1:] != p[:-1])])
+    times = np.diff(np.r_[first, len(c)])
+    c, k, p = c[first], k[first], p[first]
+    grid, tables, out = _grid(total), np.ones(len(c)), []
+    for column in grid.T:
+        for _ in range(2):
+            tables = expected(k, (STRENGTH + DISCOUNT * np.maximum(column[c] - tables, 0)) * p, DISCOUNT)
+        out.append(np.bincount(c, tables * times, len(total)))
+    return np.stack(out, axis=1)
+
+
+def settled_tables(total: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """The number of tables of each context at which its dishes take as many as there are."""
+    x = np.log(_grid(total))
+    gap = np.log(np.maximum(sums, 1)) - x
+    # One dish takes one table at least, so the first gap is not negative; the last is not positive.
+    at = np.clip((gap >= 0).cumprod(axis=1).sum(axis=1) - 1, 0, GRID - 2)
+    row = np.arange(len(x))
+    g, h = gap[row, at], gap[row, at + 1]
+    share = np.clip(g / np.maximum(g - h, 1e-12), 0, 1)
+    return np.exp(x[row, at] + share * (x[row, at + 1] - x[row, at]))
+
+
+def seat_contexts(context: np.ndarray, whole: np.ndarray, customers: np.ndarray, parent: np.ndarray, seed: np.ndarray):
+    """Mean tables of every pair (``context`` in order), and the last sample; ``whole``: tables of contexts with other parts, NaN without."""
     size = int(context[-1]) + 1 if len(context) else 0
-    mine = np.bincount(context, customers, size)
     tables, mean = np.minimum(customers, 1).astype(float), np.zeros(len(customers))
     for sweep in range(BURN + SAMPLES):
-        others = np.bincount(context, tables, size) * total / np.maximum(mine, 1)
+        others = np.where(np.isnan(whole[:size]), np.bincount(context, tables, size), whole[:size])
         weight = (STRENGTH + DISCOUNT * np.maximum(others[context] - tables, 0)) * parent
         tables = seated(customers, weight, DISCOUNT, rolling.mix(seed + np.uint64(sweep + 1) * _WORD))
         if sweep >= BURN:
@@ -216,49 +264,103 @@ def seat_contexts(context: np.ndarray, total: np.ndarray, customers: np.ndarray,
     return mean, tables
 
 
-def _seat(kinds: tuple[int, ...], train_tokens: int):
-    """Answers of a context bucket: pairs back to chunks, or tables on to word buckets."""
+class Bucket:
+    """The pairs of a context bucket: parts of contexts, and the distinct dishes of each with their training customers."""
 
-    def seat(table: pa.Table) -> pa.Table:
-        heads, bodies, chunk_of = [], [], table["bucket"].to_pylist()
+    def __init__(self, table: pa.Table, train_tokens: int):
+        self.heads, self.bodies, self.chunk_of = [], [], table["bucket"].to_pylist()
         for keys, more in zip(table["keys"].to_pylist(), table["more"].to_pylist(), strict=True):
             m, k = len(keys) // 20, len(more) // 13
-            heads.append([_unplaned(keys[4 * m * i : 4 * m * (i + 1)], m).astype(np.int64) for i in range(5)])
-            bodies.append([*[_unplaned(more[4 * k * i : 4 * k * (i + 1)], k).astype(np.int64) for i in range(3)], np.frombuffer(more, np.uint8, k, 12 * k)])
-        ub, un, part, runs, total = (np.concatenate(x) for x in zip(*heads, strict=True))
-        wb, wn, times, frequency = (np.concatenate(x) for x in zip(*bodies, strict=True))
+            self.heads.append([_unplaned(keys[4 * m * i : 4 * m * (i + 1)], m).astype(np.int64) for i in range(5)])
+            self.bodies.append([*[_unplaned(more[4 * k * i : 4 * k * (i + 1)], k).astype(np.int64) for i in range(3)], np.frombuffer(more, np.uint8, k, 12 * k)])
+        ub, un, part, runs, total = (np.concatenate(x) for x in zip(*self.heads, strict=True))
+        wb, wn, times, frequency = (np.concatenate(x) for x in zip(*self.bodies, strict=True))
         _, context = np.unique(np.stack([(ub << 32) | un, part]), axis=1, return_inverse=True)
-        context = context.reshape(-1)
-        size = int(context.max()) + 1
-        c_total = np.zeros(size, np.int64)
-        c_total[context] = total
+        self.context = context = context.reshape(-1)
+        self.size = size = int(context.max()) + 1
+        self.total, self.word, names = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.uint64)
+        self.total[context] = total
+        self.word[context] = (ub << 32) | un
+        names[context] = ((ub << 32) | un).astype(np.uint64) + part.astype(np.uint64) * _PART
         of = np.repeat(context, runs)
         dish = (wb << 32) | wn
         order = np.lexsort((dish, of))
         new = np.r_[True, (of[order][1:] != of[order][:-1]) | (dish[order][1:] != dish[order][:-1])] if len(order) else np.zeros(0, bool)
         first = np.flatnonzero(new)
-        customers = np.add.reduceat(times[order], first) if len(first) else np.zeros(0, np.int64)
-        pair = np.empty(len(order), np.int64)
-        pair[order] = np.cumsum(new) - 1
-        some = customers > 0
+        self.customers = np.add.reduceat(times[order], first) if len(first) else np.zeros(0, np.int64)
+        self.pair = np.empty(len(order), np.int64)
+        self.pair[order] = np.cumsum(new) - 1
+        self.some = self.customers > 0
         at = order[first]
-        names = np.zeros(size, np.uint64)
-        names[context] = ((ub << 32) | un).astype(np.uint64) + part.astype(np.uint64) * _PART
-        seed = rolling.mix(names[of[at]] * _GOLD + dish[at].astype(np.uint64))
-        parent = 2.0 ** (frequency[at] / 8) / max(train_tokens, 1)
-        mean, last = seat_contexts(of[at][some], c_total[: int(of[at][some][-1]) + 1] if some.any() else c_total, customers[some], parent[some], seed[some])
+        self.of, self.dish = of[at], dish[at]
+        self.seed = rolling.mix(names[self.of] * _GOLD + self.dish.astype(np.uint64))
+        self.parent = 2.0 ** (frequency[at] / 8) / max(train_tokens, 1)
+
+
+def _expect(train_tokens: int, hot: int):
+    """Expected tables of the parts of split contexts, to the word bucket of the context."""
+
+    def expect(table: pa.Table) -> pa.Table:
+        if not any((_unplaned(k[len(k) // 5 * 4 :], len(k) // 20) >= hot).any() for k in table["keys"].to_pylist()):
+            return _messages([])
+        data = Bucket(table, train_tokens)
+        mine = data.some & (data.total[data.of] >= hot)
+        if not mine.any():
+            return _messages([])
+        there, context = np.unique(data.of[mine], return_inverse=True)
+        sums = expected_tables(context, data.total[there], data.customers[mine], data.parent[mine])
+        # Several parts may lie in one bucket.
+        words, place = np.unique(data.word[there], return_inverse=True)
+        joined, total = np.zeros((len(words), GRID)), np.zeros(len(words), np.int64)
+        np.add.at(joined, place, sums)
+        total[place] = data.total[there]
+        me = table["target"][0].as_py()
+        return _messages([
+            (SETTLED, int(w >> 32), me, (w & 0xFFFFFFFF).astype("<u4").tobytes() + t.astype("<i8").tobytes(), g.astype("<f8").tobytes())
+            for w, t, g in zip(words, total, joined, strict=True)
+        ])
+
+    return expect
+
+
+def _settle(table: pa.Table) -> pa.Table:
+    """The tables of each split context, to the buckets of its parts."""
+    keys, place = np.unique(np.array(table["keys"].to_pylist(), object), return_inverse=True)
+    sums = np.zeros((len(keys), GRID))
+    for k, more in zip(place.tolist(), table["more"].to_pylist(), strict=True):
+        sums[k] += np.frombuffer(more, "<f8")
+    total = np.array([np.frombuffer(k, "<i8", 1, 4)[0] for k in keys])
+    whole = settled_tables(total, sums)
+    bucket = table["target"][0].as_py()
+    return _messages([
+        (SETTLED, b, bucket, keys[k][:4], b"", float(whole[k])) for b, k in zip(table["bucket"].to_pylist(), place.tolist(), strict=True)
+    ])
+
+
+def _seat(kinds: tuple[int, ...], train_tokens: int):
+    """Answers of a context bucket: pairs back to chunks, or tables on to word buckets."""
+
+    def seat(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _messages([])
+        data = Bucket(table, train_tokens)
+        some, of, pair, size, context = data.some, data.of, data.pair, data.size, data.context
+        known = {(b << 32) | int(_unplaned(k, 1)[0]): t for b, k, t in zip(*(answers[x].to_pylist() for x in ("bucket", "keys", "s1")), strict=True)}
+        whole = np.array([known.get(w, np.nan) for w in data.word.tolist()]) if known else np.full(size, np.nan)
+        customers = data.customers
+        mean, last = seat_contexts(of[some], whole, customers[some], data.parent[some], data.seed[some])
         rows = []
         if PAIRS_BACK in kinds:
-            tables = np.bincount(of[at][some], mean, size)
+            tables = np.bincount(of[some], mean, size)
             kept = np.zeros(len(customers))
-            kept[some] = (customers[some] - DISCOUNT * mean) / (STRENGTH + c_total[of[at][some]])
+            kept[some] = (customers[some] - DISCOUNT * mean) / (STRENGTH + data.total[of[some]])
             p = q = 0
-            for c, head, body in zip(chunk_of, heads, bodies, strict=True):
+            for c, head, body in zip(data.chunk_of, data.heads, data.bodies, strict=True):
                 m, k = len(head[0]), len(body[0])
                 rows.append((PAIRS_BACK, c, table["target"][0].as_py(), _planes(tables[context[p : p + m]], "<f4"), _planes(kept[pair[q : q + k]], "<f4")))
                 p, q = p + m, q + k
         if TABLES_ON in kinds and some.any():
-            words, place = np.unique(dish[at][some], return_inverse=True)
+            words, place = np.unique(data.dish[some], return_inverse=True)
             sums = np.bincount(place, last).astype(np.int64)
             bucket = words >> 32
             edges = _runs_of(bucket)
@@ -356,8 +458,9 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int =
     words = texts.applyInArrow(_send_words(n), MESSAGE)
     numbers = words.groupBy("target").applyInArrow(_number_words, MESSAGE)
     pairs = texts.cogroup(numbers.groupBy("target")).applyInArrow(_send_pairs(n, hot), MESSAGE).groupBy("target")
-    back = pairs.applyInArrow(_seat((PAIRS_BACK,), train_tokens), MESSAGE)
-    on = pairs.applyInArrow(_seat((TABLES_ON,), train_tokens), MESSAGE)
+    whole = pairs.applyInArrow(_expect(train_tokens, hot), MESSAGE).groupBy("target").applyInArrow(_settle, MESSAGE).groupBy("target")
+    back = pairs.cogroup(whole).applyInArrow(_seat((PAIRS_BACK,), train_tokens), MESSAGE)
+    on = pairs.cogroup(whole).applyInArrow(_seat((TABLES_ON,), train_tokens), MESSAGE)
     parent = words.groupBy("target").cogroup(on.groupBy("target")).applyInArrow(_seat_words, MESSAGE)
     totals = parent.where(F.col("kind") == TOTALS).agg(*[F.sum(s).alias(s) for s in ("s1", "s2", "s3")])
     none = F.lit(b"").cast("binary")

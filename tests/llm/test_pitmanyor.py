@@ -138,3 +138,32 @@ def test_runs_of_seats_match_single_seats():
     finally:
         pitmanyor.ONE_BY_ONE = kept
     assert abs(runs.mean() / single.mean() - 1) < 0.02
+
+
+def test_parts_of_a_skewed_context_agree_on_its_tables():
+    """One heavy dish and many light ones in 30 parts: tables as in the unsplit context, run until they stand still."""
+    rnd = np.random.default_rng(4)
+    customers = np.r_[60_000, rnd.zipf(1.6, 8000).clip(1, 3000)].astype(np.int64)
+    parent = customers / customers.sum() * 0.4
+    total, part = np.array([customers.sum()]), np.arange(len(customers)) % 30
+    seed, one = np.arange(len(customers), dtype=np.uint64), np.zeros(len(customers), np.int64)
+    kept, pitmanyor.BURN = pitmanyor.BURN, 12
+    try:
+        still, _ = pitmanyor.seat_contexts(one, np.array([np.nan]), customers, parent, seed)
+    finally:
+        pitmanyor.BURN = kept
+    sums = sum(pitmanyor.expected_tables(one[part == k], total, customers[part == k], parent[part == k]) for k in range(30))
+    whole = pitmanyor.settled_tables(total, sums)
+    assert abs(whole[0] / still.sum() - 1) < 0.01
+    parts = [pitmanyor.seat_contexts(one[part == k], whole, customers[part == k], parent[part == k], seed[part == k])[0] for k in range(30)]
+    assert abs(sum(p.sum() for p in parts) / still.sum() - 1) < 0.01
+
+
+def test_split_contexts_score_like_the_plain_sampler(spark):
+    """Half of the followers of one word are one dish, the others are many: split by dishes, scores stay those of the plain sampler."""
+    rnd = random.Random(7)
+    rows = [(i, " ".join(x for _ in range(12) for x in ("the", "big" if rnd.random() < 0.5 else f"w{rnd.randrange(400)}")), None) for i in range(300)]
+    score, *_ = plain(rows)
+    got = scores(spark, rows, chunk_bytes=5000, bucket_bytes=3000, hot=100)
+    gaps = [(got[i].score - score(text)) / got[i].n_tokens for i, text, _ in rows]
+    assert abs(np.mean(gaps)) < 0.01 and np.mean(np.abs(gaps)) < 0.04, (np.mean(gaps), np.mean(np.abs(gaps)))
