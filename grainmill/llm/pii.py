@@ -5,7 +5,9 @@ Kinds: e-mail addresses, payment cards, phone numbers, IPv4 addresses, social se
 normalised entity (digits of a phone number, lower-case e-mail address ...), rendered in the format of each occurrence: separators
 and letter case stay, cards keep their first digit and whether their check digit holds, phone numbers their first digit, IPv4 octets
 stay octets, hexadecimal stays hexadecimal, names keep the gender of the form of address, their script and their number of words.
-The same entity therefore gets the same surrogate everywhere, and a family name keeps its surrogate with and without a given name.
+The same entity therefore gets the same surrogate everywhere, and a family name keeps its surrogate with and without a given name:
+family names are entities of their own, of any gender, and what a full name changes on a collision is its given name only, which then
+gets more syllables.
 
 Collision check: the distinct entities of all documents are one table. Entities that share a surrogate (all but the first), and
 entities whose surrogate is itself an entity of the corpus, take the next attempt, until none is left. Only they are joined to
@@ -23,6 +25,7 @@ from .common import bind, stored
 
 KEY = "surrogate-1"
 MAX_ROUNDS = 60
+MORE = 8
 
 # Forms of address by gender, given names by script and gender, syllables of family names by script.
 MALE = ("Mr", "Herr", "Herrn", "Señor", "Monsieur", "Господин")
@@ -87,7 +90,7 @@ def normal(kind: Column, value: Column) -> Column:
     """What makes two occurrences the same entity."""
     return (
         F.when(kind.isin("card", "ssn", "phone"), F.regexp_replace(value, r"\D", ""))
-        .when(kind.isin("email", "name_m", "name_f"), F.lower(value))
+        .when(kind.isin("email", "name_m", "name_f", "family"), F.lower(value))
         .otherwise(value)
     )
 
@@ -146,20 +149,46 @@ def _cased(shape: Column, text: Column) -> Column:
     return F.when((shape == F.upper(shape)) & (F.length(shape) > 1), F.upper(text)).otherwise(text)
 
 
-def _name(gender: str, value: Column, stream: Column, family: Column) -> Column:
+def _syllables(script: str, stream: Column, at: int, n: Column) -> Column:
+    """n syllables from the stream, of MORE + 5 at most."""
+    table = F.array(*map(F.lit, SYLLABLES[script]))
+    return F.array_join(F.slice(F.array(*[F.get(table, _number(stream, at + k, 16)) for k in range(MORE + 5)]), 1, n), "")
+
+
+def _in_script(word: Column, of) -> Column:
+    return F.when(F.rlike(word, F.lit(r"[Ѐ-ӿ]")), of("cyrillic")).otherwise(of("latin"))
+
+
+def _family(word: Column, attempt: Column, key: str) -> Column:
+    """Surrogate of a family name; more syllables with each attempt."""
+    stream = _stream(key, F.lit("family"), F.lower(word), attempt.cast("string"))
+    return bind(stream, lambda x: _in_script(word, lambda script: F.initcap(_syllables(script, x, 0, 5 + F.least(attempt, F.lit(MORE))))))
+
+
+def _given(gender: str, word: Column, attempt: Column, stream: Column) -> Column:
+    """Surrogate of a given name: one of the table, with a syllable more for each attempt."""
+
     def of(script: str) -> Column:
-        table = F.array(*map(F.lit, SYLLABLES[script]))
-        parts = [F.get(table, _number(family, k, 16)) for k in range(5)]
-        last = F.initcap(F.concat(*parts))
         first = F.get(F.array(*map(F.lit, GIVEN[script, gender])), _number(stream, 7, 16))
-        return F.when(F.contains(value, F.lit(" ")), F.concat_ws(" ", first, last)).otherwise(last)
+        return F.concat(first, _syllables(script, stream, 8, F.least(attempt, F.lit(MORE))))
+
+    return _in_script(word, of)
 
-    return F.when(F.rlike(value, F.lit(r"[Ѐ-ӿ]")), of("cyrillic")).otherwise(of("latin"))
 
+def family_of(name: Column) -> Column:
+    """The family name of a name: its last word."""
+    return F.substring_index(name, " ", -1)
 
-def surrogate(kind: Column, value: Column, attempt: Column, key: str = KEY) -> Column:
-    """The replacement of a value in its own format."""
+
+def surrogate(kind: Column, value: Column, attempt: Column, key: str = KEY, family_attempt: Column | None = None) -> Column:
+    """The replacement of a value in its own format; a name's family name has an attempt of its own."""
     norm = normal(kind, value)
+    family_attempt = F.lit(0) if family_attempt is None else family_attempt
+
+    def name(gender: str, stream: Column) -> Column:
+        last = _family(family_of(value), family_attempt, key)
+        first = _given(gender, F.substring_index(value, " ", 1), attempt, stream)
+        return _cased(value, F.when(F.contains(value, F.lit(" ")), F.concat_ws(" ", first, last)).otherwise(last))
 
     def made(stream: Column) -> Column:
         digits = F.translate(stream, "abcdef", "012345")
@@ -180,7 +209,6 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str = KEY) -> C
             .when(F.rlike(value, F.lit("^[0-9A-F]+$")), F.upper(F.substr(F.repeat(stream, F.ceil(size / 256).cast("int")), F.lit(1), size)))
             .otherwise(_filled(value, stream))
         )
-        family = _stream(key, F.lit("family"), F.substring_index(norm, " ", -1), attempt.cast("string"))
         fixed = F.when(kind == "key", 4).otherwise(2)
         return (
             F.when(kind == "email", email)
@@ -190,8 +218,9 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str = KEY) -> C
             .when(kind == "ip", ip)
             .when(kind == "secret", secret)
             .when(kind.isin("key", "iban"), F.concat(F.substr(value, F.lit(1), fixed), _filled(F.substr(value, fixed + 1, size), stream)))
-            .when(kind == "name_m", _cased(value, _name("m", value, stream, family)))
-            .otherwise(_cased(value, _name("f", value, stream, family)))
+            .when(kind == "family", _family(value, attempt, key))
+            .when(kind == "name_m", name("m", stream))
+            .otherwise(name("f", stream))
         )
 
     return bind(_stream(key, kind, norm, attempt.cast("string")), made)
@@ -207,12 +236,19 @@ def matches(text: Column) -> Column:
     )
 
 
-def entity_attempts(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """(kind, norm, attempt) of all entities whose first surrogate collides, after all collisions are resolved."""
-    found = docs.select(F.explode(matches(F.col("text"))).alias("e")).select("e.kind", normal(F.col("e.kind"), F.col("e.value")).alias("norm"))
-    table = stored(found.distinct().withColumn("attempt", F.lit(0)), "entities")
+def _with_families(entity: Column) -> Column:
+    """(kind, norm) of an entity, and of the family name in a name."""
+    norm = normal(entity["kind"], entity["value"])
+    own = F.struct(entity["kind"].alias("kind"), norm.alias("norm"))
+    family = F.struct(F.lit("family").alias("kind"), family_of(norm).alias("norm"))
+    return F.when(F.startswith(entity["kind"], F.lit("name")), F.array(own, family)).otherwise(F.array(own))
+
+
+def _resolved(table: DataFrame, key: str) -> DataFrame:
+    """The table (kind, norm, attempt, family_attempt) with the attempts at which no two surrogates are equal and none is an entity."""
     for _ in range(MAX_ROUNDS):
-        given = table.withColumn("given", normal(F.col("kind"), surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)))
+        made = surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key, F.col("family_attempt"))
+        given = table.withColumn("given", normal(F.col("kind"), made))
         # Of equal surrogates the entity with the fewest attempts, then the first, keeps it.
         order = Window.partitionBy("kind", "given").orderBy(F.col("attempt").desc(), "norm")
         real = table.select(F.col("kind").alias("o_kind"), F.col("norm").alias("o_norm"))
@@ -220,13 +256,33 @@ def entity_attempts(docs: DataFrame, key: str = KEY) -> DataFrame:
             real, (F.col("kind") == F.col("o_kind")) & (F.col("given") == F.col("o_norm")), "left"
         )
         clash = (F.col("nth") > 1) | F.col("o_norm").isNotNull()
-        checked = stored(checked.select("kind", "norm", "attempt", clash.alias("clash")), "entities")
+        checked = stored(checked.select("kind", "norm", "attempt", "family_attempt", clash.alias("clash")), "entities")
         if checked.where("clash").isEmpty():
-            return table.where("attempt > 0")
-        table = checked.select("kind", "norm", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
+            return table
+        table = checked.select("kind", "norm", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"), "family_attempt")
     raise ValueError("surrogates still collide: the corpus has almost as many entities as their format allows")
 
 
+def entity_attempts(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """(kind, norm, attempt) of all entities whose first surrogate collides, after all collisions are resolved.
+
+    Family names are resolved with the other kinds, then full names, given the attempts of their family names.
+    """
+    found = docs.select(F.explode(matches(F.col("text"))).alias("e")).select(F.explode(_with_families(F.col("e"))).alias("e"))
+    table = found.select("e.kind", "e.norm").distinct().withColumns({"attempt": F.lit(0), "family_attempt": F.lit(0)})
+    table = stored(table, "entities")
+    is_name = F.startswith("kind", F.lit("name"))
+    moved = _resolved(table.where(~is_name), key).where("attempt > 0").select("kind", "norm", "attempt")
+    # A name of one word is its family name.
+    names = table.where(is_name & F.contains("norm", F.lit(" "))).select("kind", "norm", "attempt")
+    if names.isEmpty():
+        return moved
+    families = moved.where("kind = 'family'").select(F.col("norm").alias("f_norm"), F.col("attempt").alias("f_attempt"))
+    names = names.join(families, family_of(F.col("norm")) == F.col("f_norm"), "left")
+    names = stored(names.select("kind", "norm", "attempt", F.coalesce("f_attempt", F.lit(0)).alias("family_attempt")), "entities")
+    return moved.unionByName(_resolved(names, key).where("attempt > 0").select("kind", "norm", "attempt"))
+
+
 def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The rows with every entity in ``text`` replaced, and ``n_entities``."""
     moved = entity_attempts(docs, key)
@@ -235,17 +291,19 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         rows = rows.withColumn("e_attempts", F.create_map().cast("map<string,int>"))
     else:
         own = docs.select(F.col("doc_id").alias("e_id"), F.explode(matches(F.col("text"))).alias("e"))
-        own = own.select("e_id", F.col("e.kind").alias("e_kind"), normal(F.col("e.kind"), F.col("e.value")).alias("e_norm")).distinct()
+        own = own.select("e_id", F.explode(_with_families(F.col("e"))).alias("e"))
+        own = own.select("e_id", F.col("e.kind").alias("e_kind"), F.col("e.norm").alias("e_norm")).distinct()
         own = own.join(moved, (F.col("e_kind") == F.col("kind")) & (F.col("e_norm") == F.col("norm")))
         entry = F.struct(F.concat_ws("\n", "e_kind", "e_norm").alias("key"), F.col("attempt").alias("value"))
         own = own.groupBy("e_id").agg(F.map_from_entries(F.collect_list(entry)).alias("e_attempts"))
         rows = rows.join(own, F.col("doc_id").eqNullSafe(F.col("e_id")), "left").drop("e_id")
 
     def replaced(x: Column) -> Column:
-        name = F.concat_ws("\n", x["kind"], normal(x["kind"], x["value"]))
-        attempt = F.coalesce(F.try_element_at("e_attempts", name), F.lit(0))
+        norm = normal(x["kind"], x["value"])
+        of = lambda kind, norm: F.coalesce(F.try_element_at("e_attempts", F.concat_ws("\n", kind, norm)), F.lit(0))
+        attempt, family_attempt = of(x["kind"], norm), of(F.lit("family"), family_of(norm))
         stem = F.substr(x["match"], F.lit(1), F.length(x["match"]) - F.length(x["value"]))
-        return F.concat(stem, surrogate(x["kind"], x["value"], attempt, key))
+        return F.concat(stem, surrogate(x["kind"], x["value"], attempt, key, family_attempt))
 
     given = F.concat(F.transform("e_found", replaced), F.array(F.lit("")))
     text = F.array_join(F.zip_with(F.split("text", ENTITY), given, lambda gap, new: F.concat(gap, new)), "")

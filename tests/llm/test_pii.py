@@ -58,3 +58,21 @@ def test_collisions_are_resolved(spark):
     got = run(spark, rows)
     assert len(set(got.values())) == len(rows)
     assert not set(got.values()) & {t for _, t, _ in rows}
+
+
+def test_family_names_keep_their_surrogate_when_full_names_collide(spark):
+    """40 given names of each of 30 family names: more than the table of given names has."""
+    givens = [f"{a}{b}" for a in ("Jo", "Be", "Ra", "Tim", "Ulf", "Wen", "Kur", "Mil") for b in ("a", "bert", "dor", "nis", "rik")]
+    families = [f"{a}{b}" for a in ("Sm", "Mey", "Brand", "Holl", "Quin", "Ost") for b in ("ith", "er", "ton", "ow", "ix")]
+    rows = [(100 * i + j, f"Mr {g} {f} and Mr {f} and Ms {f}", "x") for i, f in enumerate(families) for j, g in enumerate(givens)]
+    rows += [(9000 + i, f"Herr {f.upper()}", "x") for i, f in enumerate(families)]
+    got = run(spark, rows)
+    last, full = {}, {}
+    for i, text, _ in rows:
+        family = text.split()[-1].lower()
+        words = got[i, "x"].split()
+        if i < 9000:
+            full[i] = (words[1], words[2])
+            assert words[2] == words[5] == words[8]
+        assert last.setdefault(family, words[-1].lower()) == words[-1].lower()
+    assert len(set(last.values())) == len(families) and len(set(full.values())) == len(families) * len(givens)
