@@ -81,7 +81,11 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             got += len(piece) + len(mark)
             while True:
                 if head is None:
-                    data = b"".join(parts)
+                    # The last piece of a file may end without a separator, so line breaks can be left over between records.
+                    data = b"".join(parts).lstrip(b"\r\n")
+                    if not data:
+                        parts, got = [], 0
+                        break
                     cut = data.find(mark)
                     if cut < 0:
                         parts, got = [data], len(data)

@@ -40,3 +40,17 @@ def test_round_trip(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert warc.archived(pages(spark, []), str(tmp_path / "none")).count() == 0
+
+
+def test_payloads_that_end_in_line_breaks(spark, tmp_path):
+    """As only, last and middle records of files, several of which one task reads."""
+    ends = ["\r\n", "\n", "\r", "\r\n\r", "\r\n\r\n", "\r\n\r\n\r\n", "\n\r\n", "\r\n\n", "\r\r\n"]
+    rows = [(i, "u", "x" * 100 + str(i) + end) for i, end in enumerate(ends)] + [(50 + i, "u", end) for i, end in enumerate(ends)]
+    for files in (1, 4, len(rows)):
+        path = str(tmp_path / f"archive{files}")
+        frame = pages(spark, rows).repartitionByRange(files, "page_id") if files > 1 else pages(spark, rows[:1])
+        warc.write_archives(warc.resolve_revisits(frame), path)
+        for reader in (warc.read_archives(spark, path), warc.read_archives(spark, path).coalesce(1)):
+            got = {r.record_id: (r.n_read, r.digest_read) for r in reader.collect()}
+            want = rows if files > 1 else rows[:1]
+            assert got == {i: (len(p), hashlib.sha256(p.encode()).hexdigest()) for i, _, p in want}
