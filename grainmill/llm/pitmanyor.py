@@ -3,7 +3,8 @@
 Every word is the context restaurant of the words that follow it; all restaurants share one parent, the restaurant of single words,
 whose own parent is uniform over the known words and one unknown. A customer of dish w in context u sits at a new table with a chance in
 proportion to (STRENGTH + DISCOUNT * tables) * P(w | parent), at an old one in proportion to customers - DISCOUNT * tables of w. A Gibbs
-sweep unseats the customers of each dish in turn and seats them again, given all other dishes; after BURN sweeps, SAMPLES are averaged. Each
+sweep unseats the customers of each dish in turn and seats them again, given all other dishes; after BURN sweeps, SAMPLES are averaged. The
+first sweep takes the expected number of tables at rest, as a large context that starts from one table per dish grows for many sweeps. Each
 table sends one customer to the parent, which is sampled in the same way. The prediction is
 
     P(w | u) = (c_uw - d t_uw) / (s + c_u) + (s + d t_u) / (s + c_u) * P(w),   P(w) likewise from the tables and 1 / (V + 1).
@@ -40,8 +41,9 @@ from .common import words as word_array
 
 STRENGTH, DISCOUNT = 2.0, 0.75
 PARENT_STRENGTH, PARENT_DISCOUNT = 10.0, 0.7
-BURN, SAMPLES = 1, 3
+BURN, SAMPLES = 2, 3
 GRID = 48
+HALVINGS = 8
 FOLDS, HELD_OUT = 7, 2
 CHUNK_BYTES = 12 << 20
 BUCKET_BYTES = 8 << 20
@@ -205,14 +207,19 @@ def seated(customers: np.ndarray, weight: np.ndarray, discount: float, seed: np.
 
 
 def expected(customers: np.ndarray, weight: np.ndarray, discount: float) -> np.ndarray:
-    """Mean tables that ``seated`` gives."""
-    tables = np.ones(len(customers))
+    """Mean tables that ``seated`` gives, with the variance of the tables for the curvature of the chance."""
+    tables, spread = np.ones(len(customers)), np.zeros(len(customers))
     open_dishes = np.flatnonzero(customers > 1)
     at = 1
     while len(open_dishes):
         run = np.minimum(1 if at < ONE_BY_ONE else at // 16, customers[open_dishes] - at)
-        new = weight[open_dishes]
-        tables[open_dishes] += run * new / (new + at - discount * tables[open_dishes])
+        new, t, v = weight[open_dishes], tables[open_dishes], spread[open_dishes]
+        all_seats = new + at - discount * t
+        chance, bend = new / all_seats, discount / all_seats
+        step = run * chance * (1 + bend * bend * v)
+        tables[open_dishes] = t + step
+        rest = step - np.floor(step)
+        spread[open_dishes] = v * (1 + run * chance * bend) ** 2 + rest * (1 - rest)
         at += 1 if at < ONE_BY_ONE else at // 16
         open_dishes = open_dishes[customers[open_dishes] > at]
     return np.minimum(tables, customers)
@@ -223,14 +230,32 @@ def _grid(total: np.ndarray) -> np.ndarray:
     return np.maximum(total, 2)[:, None] ** np.linspace(0, 1, GRID)
 
 
-def expected_tables(context: np.ndarray, total: np.ndarray, customers: np.ndarray, parent: np.ndarray) -> np.ndarray:
-    """Tables that the given dishes of each context take together, for each number of ``_grid`` that the whole context has."""
-    # Dishes of equal customers and parent take equally many.
+def _alike(context: np.ndarray, customers: np.ndarray, parent: np.ndarray):
+    """Dishes of equal customers and parent in a context, which take equally many tables, once, and how many there are."""
     kinds = np.lexsort((parent, customers, context))
     c, k, p = context[kinds], customers[kinds], parent[kinds]
     first = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (k[1:] != k[:-1]) | (p[1:] != p[:-1])])
-    times = np.diff(np.r_[first, len(c)])
-    c, k, p = c[first], k[first], p[first]
+    return c[first], k[first], p[first], np.diff(np.r_[first, len(c)])
+
+
+def tables_at_rest(context: np.ndarray, customers: np.ndarray, parent: np.ndarray, size: int) -> np.ndarray:
+    """About the number of tables of whole contexts at which the sampler is at rest: HALVINGS of the range between dishes and customers."""
+    low, high = (np.log(np.maximum(np.bincount(context, x, size), 1)) for x in (np.minimum(customers, 1), customers))
+    c, k, p, times = _alike(context, customers, parent)
+    single = np.bincount(c[k == 1], times[k == 1], size)
+    c, k, p, times = (x[k > 1] for x in (c, k, p, times))
+    tables = np.ones(len(c))
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        tables = expected(k, (STRENGTH + DISCOUNT * np.maximum(np.exp(middle)[c] - tables, 0)) * p, DISCOUNT)
+        more = np.bincount(c, tables * times, size) + single > np.exp(middle)
+        low, high = np.where(more, middle, low), np.where(more, high, middle)
+    return np.exp((low + high) / 2)
+
+
+def expected_tables(context: np.ndarray, total: np.ndarray, customers: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """Tables that the given dishes of each context take together, for each number of ``_grid`` that the whole context has."""
+    c, k, p, times = _alike(context, customers, parent)
     grid, tables, out = _grid(total), np.ones(len(c)), []
     for column in grid.T:
         for _ in range(2):
@@ -255,8 +280,9 @@ def seat_contexts(context: np.ndarray, whole: np.ndarray, customers: np.ndarray,
     """Mean tables of every pair (``context`` in order), and the last sample; ``whole``: tables of contexts with other parts, NaN without."""
     size = int(context[-1]) + 1 if len(context) else 0
     tables, mean = np.minimum(customers, 1).astype(float), np.zeros(len(customers))
+    start = tables_at_rest(context, customers, parent, size)
     for sweep in range(BURN + SAMPLES):
-        others = np.where(np.isnan(whole[:size]), np.bincount(context, tables, size), whole[:size])
+        others = np.where(np.isnan(whole[:size]), np.bincount(context, tables, size) if sweep else start, whole[:size])
         weight = (STRENGTH + DISCOUNT * np.maximum(others[context] - tables, 0)) * parent
         tables = seated(customers, weight, DISCOUNT, rolling.mix(seed + np.uint64(sweep + 1) * _WORD))
         if sweep >= BURN:

@@ -167,3 +167,19 @@ def test_split_contexts_score_like_the_plain_sampler(spark):
     got = scores(spark, rows, chunk_bytes=5000, bucket_bytes=3000, hot=100)
     gaps = [(got[i].score - score(text)) / got[i].n_tokens for i, text, _ in rows]
     assert abs(np.mean(gaps)) < 0.01 and np.mean(np.abs(gaps)) < 0.04, (np.mean(gaps), np.mean(np.abs(gaps)))
+
+
+def test_large_contexts_are_sampled_at_rest():
+    """A context of three million customers: the averaged sweeps are not those in which its tables still grow."""
+    rnd = np.random.default_rng(5)
+    customers = rnd.zipf(1.3, 60_000).clip(1, 20_000).astype(np.int64)
+    customers = np.r_[customers, np.full(3000, 1 + max(0, 3_000_000 - customers.sum()) // 3000)]
+    parent, one = np.full(len(customers), 1 / len(customers)), np.zeros(len(customers), np.int64)
+    seed = np.arange(len(customers), dtype=np.uint64)
+    mean, _ = pitmanyor.seat_contexts(one, np.array([np.nan]), customers, parent, seed)
+    kept, pitmanyor.BURN = pitmanyor.BURN, 25
+    try:
+        still, _ = pitmanyor.seat_contexts(one, np.array([np.nan]), customers, parent, seed)
+    finally:
+        pitmanyor.BURN = kept
+    assert abs(mean.sum() / still.sum() - 1) < 0.02, (mean.sum(), still.sum())
