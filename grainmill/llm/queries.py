@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bagminhash, decontaminate, mixing, ordinal, pii, pitmanyor, quality, substring, urlfilter, warc
+from . import alignment, bagminhash, decontaminate, knn, mixing, ordinal, pii, pitmanyor, quality, spelling, substring, urlfilter, warc
 from .common import table
-from .sql import MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL, URLFILTER_SQL, WARC_SQL
+from .sql import KNN_SQL, MIXING_SQL, QUALITY_SQL, SPELLING_SQL, SUBSTRING_SQL, URLFILTER_SQL, WARC_SQL
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,11 +69,26 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitmanyor.scores(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of the documents."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    return knn.exact_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of two tokenizers in every document."""
+    return alignment.alignments(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_substring_dedup, op3_bagminhash, op4_decontamination, op5_ordinal_quality, op6_mixing, op7_pii_surrogates, op8_warc_revisits, op9_url_rules,
-        op10_pitman_yor,
+        op10_pitman_yor, op11_spelling_variants, op12_exact_topk, op13_token_alignment,
     )
 }
 SQL = {
@@ -82,4 +97,6 @@ SQL = {
     "op6_mixing": MIXING_SQL,
     "op8_warc_revisits": WARC_SQL,
     "op9_url_rules": URLFILTER_SQL,
+    "op11_spelling_variants": SPELLING_SQL,
+    "op12_exact_topk": KNN_SQL,
 }

@@ -181,3 +181,62 @@ k as (select rid, unnest(w) as x, unnest(range(1, len(w) + 1)) as p from d),
 t as (select rid, string_agg(x, ' ' order by p) as t, count(*) as n from k anti join c using (rid, p) group by rid)
 select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
 from d left join t using (rid)"""
+
+#: op11: checksums by a table made from the polynomial, near words by what deleting one code point leaves.
+SPELLING_SQL = r"""
+with recursive crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i)) as t
+),
+runs as (
+  select coalesce(cast(doc_id as varchar), '') as id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents) as r
+  group by all
+),
+sums as (
+  select run, n, xor(4294967295, list_reduce(
+    flatten(list_transform(string_split(id || ':' || run, ''), lambda x: case when ord(x) < 128 then [ord(x)::bigint] else [195, ord(x)::bigint - 64] end)),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295::bigint)) as h
+  from runs, crc_table
+),
+words as (
+  select word, sum(n)::bigint as n
+  from (select case when h % 97 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n from sums) as s
+  where length(word) >= 5 group by word having sum(n) >= 3
+),
+shorter as (
+  select word, n, i, left(word, i::int) || substr(word, i::int + 2) as rest from (select word, n, unnest(range(length(word))) as i from words) as w
+),
+near as (
+  select distinct * from (
+    select a.word, b.word as near, b.n as near_n from shorter a join shorter b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+    union all select s.word, w.word, w.n from shorter s join words w on s.rest = w.word
+    union all select w.word, s.word, s.n from shorter s join words w on s.rest = w.word
+  ) as p
+),
+best as (
+  select word, count(*) as n_near, first(near order by near_n desc, near) as near, max(near_n) as near_n from near group by word
+),
+forms as (
+  select word, n, coalesce(n_near, 0)::bigint as n_near, case when near_n >= 2 * n then near end as form, case when near_n >= 2 * n then near_n end as form_n
+  from words left join best using (word)
+),
+chain as (
+  select word, word as root, form as next from forms
+  union all select c.word, c.next, f.form from chain c join forms f on c.next = f.word
+)
+select f.word, f.form, c.root, f.n, f.n_near, f.form_n from forms f join chain c on c.word = f.word and c.next is null
+"""
+
+#: op12: all products.
+KNN_SQL = """
+with ints as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+  select q.vec_id as query_id, r.vec_id, list_inner_product(q.v, r.v)::bigint as score
+  from ints q join ints r on r.vec_id <> q.vec_id where q.vec_id % 100 = 0
+)
+select query_id, rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored) as s where rank <= 10
+"""
