@@ -1,7 +1,10 @@
 """Surrogates: nothing else changes, kinds and formats stay, entities stay apart and together."""
 
+import hashlib
+import random
 import re
 
+import regex
 from pyspark.sql import functions as F
 
 from grainmill.llm import pii
@@ -54,7 +57,8 @@ def test_collisions_are_resolved(spark):
     """One-letter addresses of one host have few surrogates, so many collide at first."""
     rows = [(i, f"{c}{d}@one.example.net", "x") for i, (c, d) in enumerate((c, d) for c in "abcdefghijklmnopqrstuvwxyz" for d in "0123456789")]
     frame = spark.createDataFrame(rows, SCHEMA)
-    assert pii.entity_attempts(frame).where(F.col("attempt") > 0).count() > 50
+    entities = pii.stored(pii.found(frame).select("kind", "norm").distinct(), "t")
+    assert pii.surrogates(entities).where(F.col("attempt") > 0).count() > 50
     got = run(spark, rows)
     assert len(set(got.values())) == len(rows)
     assert not set(got.values()) & {t for _, t, _ in rows}
@@ -76,3 +80,174 @@ def test_family_names_keep_their_surrogate_when_full_names_collide(spark):
             assert words[2] == words[5] == words[8]
         assert last.setdefault(family, words[-1].lower()) == words[-1].lower()
     assert len(set(last.values())) == len(families) and len(set(full.values())) == len(families) * len(givens)
+
+
+def test_forms_without_data_stay(spark):
+    texts = ["Name: ____ Password: ________ thanks", "token = ------------", "secret=/+/+/+/+/+", "password: ____-___", "0" * 5000, "f" * 20]
+    assert run(spark, [(i, t, "a") for i, t in enumerate(texts)]) == {(i, "a"): t for i, t in enumerate(texts)}
+
+
+def test_a_format_whose_values_are_all_taken_grows(spark):
+    rows = [(i, f"password=1---{i}---", "a") for i in range(10)] + [(10 + i, f"token = {i}_______", "a") for i in range(10)]
+    got = run(spark, rows)
+    old, new = {t for _, t, _ in rows}, set(got.values())
+    assert len(new) == 20 and not old & new
+    assert all(re.fullmatch(r"(password=\d---\d---|token = \d_______)[a-p]*", t) for t in new)
+
+
+FORMATS = [
+    ("call 555 123 4567 now", r"call 5\d\d \d{3} \d{4} now"),
+    ("call 020 7946 0958 now", r"call 0\d\d \d{4} \d{4} now"),
+    ("to DE89 3704 0044 0532 0130 00.", r"to DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d\."),
+    ("hash " + "ab12" * 32 + "!", r"hash [0-9a-f]{128}!"),
+    ("met Mr Παπαδόπουλος there", r"met Mr \p{Greek}+ there"),
+    ("met Κυρία Μαρία Παππά there", r"met Κυρία \p{Greek}+ \p{Greek}+ there"),
+    ("met Dr. John Smith there", r"met Dr\. \p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+ there"),
+    ("met Prof 王小明 there", r"met Prof \p{Han}{3} there"),
+    ("Name: Jane Roe\nAge", r"Name: \p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+\nAge"),
+]
+
+
+def test_more_formats(spark):
+    got = run(spark, [(i, text, "a") for i, (text, _) in enumerate(FORMATS)])
+    for i, (text, shape) in enumerate(FORMATS):
+        assert got[i, "a"] != text and regex.fullmatch(shape, got[i, "a"]), got[i, "a"]
+
+
+def test_rows_without_id(spark):
+    """10,000 rows without id and one text in a third of all: nothing is gathered by id."""
+    rows = [(None, f"mail {i % 3000}@x.example.org or 10.1.{i % 200}.7" if i % 3 else "mail all@x.example.org", str(i)) for i in range(10_000)]
+    got = run(spark, rows)
+    assert len(got) == 10_000
+    of = {}
+    for _, t, k in rows:
+        assert of.setdefault(t, got[None, k]) == got[None, k] != t
+    assert len(set(of.values())) == len(of)
+    frame = pii.with_surrogates(spark.createDataFrame(rows, SCHEMA))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "doc_id" not in "".join(x for x in plan.splitlines() if "Exchange" in x or "Join" in x)
+
+
+def test_gender_of_a_name_without_form(spark):
+    got = run(spark, [(1, "Dr John Smith", "a"), (2, "Mr John Smith", "a"), (3, "Dr Ann Miller", "a")])
+    assert got[1, "a"].split()[1:] == got[2, "a"].split()[1:] and got[3, "a"].split()[1] in pii.GIVEN["latin", "u"]
+
+
+class Plain:
+    """The whole replacement in plain Python, for all kinds with letters and digits of ASCII."""
+
+    entity = regex.compile(pii.ENTITY)
+
+    def stream(self, *parts):
+        return "".join(hashlib.sha512("\n".join([f"{pii.KEY}{n}", *parts]).encode()).hexdigest() for n in range(2))
+
+    def pick(self, s, i, most):
+        at = 3 * i % 250
+        return int(s[at : at + 4], 16) % most
+
+    def filled(self, shape, s):
+        letter = lambda i: chr(97 + self.pick(s, i, 26))
+        out = [str(self.pick(s, i, 10)) if c.isdigit() else letter(i) if c.islower() else letter(i).upper() if c.isupper() else c for i, c in enumerate(shape)]
+        return "".join(out)
+
+    def digits(self, s, n):
+        return "".join(str(self.pick(s, i + 1, 10)) for i in range(n))
+
+    def luhn(self, x):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(x[::-1]))
+
+    def kind(self, m):
+        if "@" in m:
+            return "email"
+        if re.match(rf"{pii.SECRET}", m) or re.fullmatch("[0-9a-fA-F]{32,}", m):
+            return "secret"
+        if re.fullmatch("AKIA[0-9A-Z]{16}", m):
+            return "key"
+        if re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", m):
+            return "ip"
+        if re.fullmatch(r"\d{3}-\d{2}-\d{4}", m):
+            return "ssn"
+        if re.fullmatch(r"[A-Z]{2}\d{2}[A-Z0-9 ]+", m):
+            return "iban"
+        return "card" if len(re.sub(r"\D", "", m)) >= 13 and m[0] not in "+(" else "phone"
+
+    def norm(self, kind, value):
+        return {"email": value.lower(), "iban": value.replace(" ", "")}.get(kind, re.sub(r"\D", "", value) if kind in ("card", "ssn", "phone") else value)
+
+    def made(self, kind, norm, attempt):
+        s = self.stream(kind, norm, str(attempt))
+        late = self.stream("late", s)[:40]
+        letters = late.translate(str.maketrans("0123456789", "ghijklmnop"))
+        more = letters[: max(attempt - pii.MORE, 0)]
+        digits = late.translate(str.maketrans("abcdef", "012345"))[: max(attempt - pii.MORE, 0)]
+        if kind == "email":
+            local, domain = norm.split("@", 1)
+            host = self.stream("domain", domain)[:10].translate(str.maketrans("0123456789", "ghijklmnop"))
+            return letters[:attempt] + self.filled(local, s) + "@" + host + ".example"
+        if kind == "card":
+            middle = norm[0] + self.digits(s, len(norm) - 2)
+            return middle + str((self.luhn(norm) % 10 - self.luhn(middle + "0")) % 10) + digits
+        if kind == "phone":
+            return norm[0] + self.digits(s, len(norm) - 1) + digits
+        if kind == "ssn":
+            return "9" + self.digits(s, len(norm) - 1) + digits
+        if kind == "ip":
+            return ".".join(str(1 + int(s[4 * k : 4 * k + 4], 16) % 254) for k in range(4)) + digits
+        if kind == "secret":
+            long = s * (len(norm) // 256 + 1)
+            if re.fullmatch("[0-9a-f]+", norm):
+                return long[: len(norm)] + more
+            return (long[: len(norm)].upper() if re.fullmatch("[0-9A-F]+", norm) else self.filled(norm, s)) + more
+        fixed = 4 if kind == "key" else 2
+        return norm[:fixed] + self.filled(norm[fixed:], s) + more.upper()
+
+    def rendered(self, kind, value, new):
+        if kind in ("card", "phone", "ssn", "iban"):
+            chars = iter(new)
+            return "".join(next(chars) if (c.isdigit() or kind == "iban" and c != " ") else c for c in value) + "".join(chars)
+        if kind == "email":
+            local, host = new.split("@")
+            shape = ("x" * len(local) + value.split("@")[0])[-len(local) :]
+            return "".join(c.upper() if s.isupper() else c for s, c in zip(shape, local, strict=True)) + "@" + host
+        return new
+
+    def run(self, texts):
+        hits = {t: [m[0] for m in self.entity.finditer(t)] for t in texts}
+        parts = {m: (k, re.search(r"[A-Za-z0-9+/_-]+$", m)[0] if k == "secret" else m) for ms in hits.values() for m in ms for k in [self.kind(m)]}
+        entities = sorted({(k, self.norm(k, v)) for k, v in parts.values()})
+        given, taken, attempt, open_ = {}, set(entities), 0, entities
+        while open_:
+            tried = {e: self.made(*e, attempt) for e in open_}
+            first = {}
+            for (k, n), g in tried.items():
+                first.setdefault((k, self.norm(k, g)), (k, n))
+            fine = {e for e, g in tried.items() if first[e[0], self.norm(e[0], g)] == e and (e[0], self.norm(e[0], g)) not in taken}
+            given |= {e: tried[e] for e in fine}
+            taken |= {(e[0], self.norm(e[0], tried[e])) for e in fine}
+            open_, attempt = [e for e in open_ if e not in fine], attempt + 1
+
+        def new(m):
+            k, v = parts[m]
+            return m[: len(m) - len(v)] + self.rendered(k, v, given[k, self.norm(k, v)])
+
+        return {t: self.entity.sub(lambda m: new(m[0]), t) for t in texts}
+
+
+def test_whole_replacement_against_a_plain_version(spark):
+    rng = random.Random(4)
+    made = [
+        lambda: f"{rng.choice('abcXY')}{rng.randrange(99)}.{rng.choice('pq')}@h{rng.randrange(4)}.Example.org",
+        lambda: f"+{rng.randrange(1, 99)} {rng.randrange(100, 999)} {rng.randrange(1000, 9999)} {rng.randrange(100, 999)}",
+        lambda: f"4{rng.randrange(10**14, 10**15)}",
+        lambda: f"{rng.randrange(1, 9)}.{rng.randrange(9)}.0.{rng.randrange(3)}",
+        lambda: f"token={rng.choice('ab')}{rng.randrange(10)}______",
+        lambda: f"{rng.randrange(16**39, 16**40):x}",
+        lambda: f"{rng.randrange(100, 999)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}",
+        lambda: f"GB{rng.randrange(10, 99)} ABCD {rng.randrange(1000, 9999)} {rng.randrange(1000, 9999)} 12",
+        lambda: "AKIA" + "".join(rng.choice("ABC0") for _ in range(16)),
+        lambda: rng.choice(["plain", "words", "12", "3.5", "-", "a@b"]),
+    ]
+    texts = [", ".join(rng.choice(made)() for _ in range(rng.randrange(1, 12))) for _ in range(400)]
+    rows = [(i, t, "a") for i, t in enumerate(texts)]
+    got, want = run(spark, rows), Plain().run(texts)
+    assert all(got[i, "a"] == want[t] for i, t, _ in rows)
