@@ -25,7 +25,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base ** 0, 1, ... n - 1 modulo 2 ** 64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, PIECE_BYTES + 65536), base, np.uint64)
+        have = np.full(max(1024, 1 << (n - 1).bit_length()), base, np.uint64)
         have[0] = 1
         have = _powers[base] = np.multiply.accumulate(have)
     return have[:n]
