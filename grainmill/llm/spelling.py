@@ -139,6 +139,8 @@ def _common_prefixes(codes: np.ndarray, at: np.ndarray, length: np.ndarray, firs
 def scan(texts: list[str], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions i < j of all texts of one list that are one edit apart; the lists are sorted, ``first`` marks where each begins."""
     n = len(texts)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     length = np.fromiter(map(len, texts), np.int64, n)
     at = np.zeros(n, np.int64)
     np.cumsum(length[:-1] + 2, out=at[1:])

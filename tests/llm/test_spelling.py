@@ -101,3 +101,7 @@ def test_chain_of_forms_and_ties(spark):
 
 def test_empty_table(spark):
     assert rows(spelling.spelling_variants(spark.createDataFrame([], SCHEMA))) == []
+
+
+def test_lists_of_one_word(spark):
+    assert rows(spelling.spelling_forms(spark.createDataFrame([("lonely", 5)], "word string, n long"))) == [("lonely", None, "lonely", 5, 0, None)]
