@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.scalars import duration_text
 
 
-def _slices(area: bool) -> dict[str, str]:
+def slices(area: bool) -> dict[str, str]:
+    """Condition of each slice of the dwell times."""
     slices = {"": "true", "ret": "new is null", "new": "new is not null"}
     if area:
         for name, where in (("other", "area is null"), ("china", "area is not null")):
@@ -22,7 +23,7 @@ def _slices(area: bool) -> dict[str, str]:
 def dwell_sums(dwell: DataFrame, keys: list[str], area: bool = False) -> DataFrame:
     """Sum and count per grain and slice; these add up over coarser grains."""
     out = []
-    for name, where in _slices(area).items():
+    for name, where in slices(area).items():
         value = "page_avg_time" if where == "true" else f"case when {where} then page_avg_time end"
         out += [f"sum({value}) as sum_{name}", f"count({value}) as cnt_{name}"]
     return dwell.groupBy(*keys).agg(*map(F.expr, out))

@@ -1,6 +1,8 @@
-"""Address lookup: find the range that contains an address and attach its location.
+"""Address lookup: find the range that contains an address and attach its location; of nested or overlapping ranges the shortest one.
 
-Ranges are cut at /16 boundaries. For a dictionary whose measured size allows it, whole /16 and whole /24 blocks are looked up by their
+Ranges are cut at /16 boundaries. In a bucket whose ranges overlap, the pieces are swept once more: between two neighbouring bounds the
+same ranges are open, and the shortest of them is found among the aligned blocks around the lower bound, 17 at most, however many ranges
+lie inside each other. For a dictionary whose measured size allows it, whole /16 and whole /24 blocks are looked up by their
 prefix and the rest is cut at /28, so an address meets at most 16 pieces however dense the dictionary is; all three are broadcast and the
 hits are not moved. A larger dictionary is resolved on the distinct addresses with one window per /16 bucket; a bucket holds at
 most 65,536 addresses and as many range starts, whatever the data looks like.
@@ -18,34 +20,60 @@ from .sizing import broadcast_if_small, is_small
 HOT_ROWS = 4_000_000
 
 
+BUCKET_BITS = 16
+
+
 def range_pieces(ranges: DataFrame) -> DataFrame:
     """Disjoint pieces of the ranges inside /16 buckets.
 
-    The ranges of a dictionary do not overlap. Should some do, an address still finds at most one.
+    Where ranges overlap, the shortest one wins; of equally long ones the later one, then the first by its texts.
     """
     bucket = F.explode(
-        F.sequence(F.shiftright("begin_ip", 16), F.shiftright("end_ip", 16))
+        F.sequence(F.shiftright("begin_ip", BUCKET_BITS), F.shiftright("end_ip", BUCKET_BITS))
     ).alias("bucket")
-    pieces = ranges.where("begin_ip <= end_ip").select("*", bucket)
-    low = F.shiftleft("bucket", 16)
-    pieces = pieces.select(
+    start = F.shiftleft("bucket", BUCKET_BITS)
+    pieces = ranges.where("begin_ip <= end_ip").select("*", bucket).select(
         "bucket",
-        F.greatest("begin_ip", low).alias("low"),
-        F.least("end_ip", low + F.lit(65535)).alias("high"),
-        "begin_ip",
-        "country",
-        "area",
+        F.greatest("begin_ip", start).alias("low"),
+        F.least("end_ip", start + F.lit((1 << BUCKET_BITS) - 1)).alias("high"),
+        F.struct((F.col("end_ip") - F.col("begin_ip")).alias("length"), (-F.col("begin_ip")).alias("later"), "country", "area").alias("r"),
     )
-    latest = F.struct("begin_ip", "high", "country", "area")
-    pieces = pieces.groupBy("bucket", "low").agg(F.max(latest).alias("r"))
+    before = Window.partitionBy("bucket").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    meets = F.coalesce(F.max("high").over(before) >= F.col("low"), F.lit(False))
+    marked = pieces.withColumn("meets", meets).withColumn("tangled", F.max("meets").over(Window.partitionBy("bucket")))
+    texts = ["bucket", "low", "high", F.col("r.country").alias("country"), F.col("r.area").alias("area")]
+    single = marked.where("not tangled").select(*texts)
+    return single.unionByName(_swept(marked.where("tangled").select("bucket", "low", "high", "r")).select(*texts))
+
+
+def _aligned_blocks(low: Column, high: Column) -> Column:
+    """The fewest aligned blocks (bits, prefix) that make up the addresses low .. high of a bucket, two of each size at most."""
+    start = F.struct(low.alias("a"), (high + 1).alias("b"), F.array().cast("array<struct<bits:int,prefix:bigint>>").alias("out"))
+
+    def step(acc: Column, bits: Column) -> Column:
+        # Bounds in units of this size; an odd one gives a block of it, the rest goes on in units twice as large.
+        left = (F.pmod(acc["a"], F.lit(2)) == 1) & (acc["a"] < acc["b"])
+        after = acc["a"] + F.when(left, 1).otherwise(0)
+        right = (F.pmod(acc["b"], F.lit(2)) == 1) & (after < acc["b"])
+        until = acc["b"] - F.when(right, 1).otherwise(0)
+        block = lambda prefix: F.array(F.struct(bits.cast("int").alias("bits"), prefix.alias("prefix")))
+        none = F.array().cast("array<struct<bits:int,prefix:bigint>>")
+        found = F.concat(acc["out"], F.when(left, block(acc["a"])).otherwise(none), F.when(right, block(until)).otherwise(none))
+        return F.struct(F.shiftright(after + 1, 1).alias("a"), F.shiftright(until, 1).alias("b"), found.alias("out"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(BUCKET_BITS)), start, step, lambda acc: acc["out"])
+
+
+def _swept(pieces: DataFrame) -> DataFrame:
+    """Pieces between neighbouring bounds of the overlapping ranges of each bucket, each with the shortest range open there."""
+    blocks = pieces.select("r", F.explode(_aligned_blocks(F.col("low"), F.col("high"))).alias("block"))
+    blocks = blocks.groupBy("block.bits", "block.prefix").agg(F.min("r").alias("r"))
+    bounds = pieces.select("bucket", F.explode(F.array("low", F.col("high") + 1)).alias("low")).distinct()
     following = F.lead("low").over(Window.partitionBy("bucket").orderBy("low"))
-    return pieces.select(
-        "bucket",
-        "low",
-        F.least(F.col("r.high"), F.coalesce(following - F.lit(1), F.col("r.high"))).alias("high"),
-        F.col("r.country").alias("country"),
-        F.col("r.area").alias("area"),
-    )
+    gaps = bounds.withColumn("high", following - 1).where("high is not null")
+    around = gaps.select("*", F.explode(F.sequence(F.lit(0), F.lit(BUCKET_BITS))).alias("bits"))
+    around = around.withColumn("prefix", F.expr("shiftright(low, bits)"))
+    return around.join(blocks, ["bits", "prefix"]).groupBy("bucket", "low", "high").agg(F.min("r").alias("r"))
 
 
 def _unknown_texts() -> dict[str, Column]:

@@ -7,7 +7,8 @@ keys and id, after map-side combining) and one small one (one row per task and g
 that holds a large share of all hits costs one member row per map task, not a hot reducer.
 
 Coarser grains of a hierarchy are built from the members of the finer grain, never from the hits
-again.
+again. Finest members are dealt once by the keys that all grains share and the id; every coarser
+grain groups by more than that, so it needs no exchange of its own, however many grains there are.
 """
 
 from __future__ import annotations
@@ -74,12 +75,24 @@ def _singleton_test(frame: DataFrame, cascade: bool = True) -> str:
     return "lone" if cascade and "lone" in frame.columns else "rows"
 
 
-def coarsen(finer: DataFrame, keys: list[str]) -> DataFrame:
+def at_home(frame: DataFrame, keys: list[str]) -> DataFrame:
+    """Members dealt by the keys common to all grains, their kind and id.
+
+    The members are combined before this: an id with a third of all hits is one row per finest group.
+    """
+    return frame.repartition(*keys, "kind", "id")
+
+
+def coarsen(finer: DataFrame, keys: list[str], fresh: bool = False) -> DataFrame:
     """Members of a coarser grain, with ``lone``: the finer grain's surviving singletons.
 
-    Reports of the two grains read the same columns of ``finer`` in the same order, which lets
-    Spark reuse its exchange.
+    ``fresh`` starts a cascade anew: the rows of a member count, not what survived below. Reports of
+    the two grains read the same columns of ``finer`` in the same order, which lets Spark reuse its
+    exchange.
     """
+    if fresh:
+        measures = [f"{n}{m}" for n in ["", *[f"{n}_" for n in _flag_names(finer)]] for m in ("rows", "views")]
+        return finer.groupBy(*keys, "kind", "id").agg(*[F.expr(f"sum({m}) as {m}") for m in measures])
     test = _singleton_test(finer)
     out = []
     for n in ["", *[f"{n}_" for n in _flag_names(finer)]]:

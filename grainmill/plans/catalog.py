@@ -82,7 +82,7 @@ def _dwell_time(family: str, area: bool = False, level: str | None = None, grain
 CASCADED = {"engine", "keyword", "engine_province", "engine_city", "link"}
 
 for _name in FAMILIES:
-    if _name in ("region", "link_total"):
+    if _name in ("region", "link_total", "engine_region"):
         continue
     _suffix = "_cascade" if _name in CASCADED else ""
     register(f"traffic_{_name}", o.family(_name, "traffic"))(_traffic(_name))
@@ -1039,3 +1039,7 @@ register("older_region_traffic", CATALOG["traffic_province"].sql)(
         "hits_2014_region", lambda hits: visitor_cells(hits, FAMILIES["region"], ("traffic",)).where("level = 'province'")
     )
 )
+
+
+# Further queries register themselves in the same catalog.
+from . import catalog_stored  # noqa: E402, F401

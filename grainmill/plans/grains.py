@@ -17,13 +17,16 @@ class Level:
     """One grain of a family, and how visitors bounce at it.
 
     ``cascade``: a bouncing visitor has exactly one surviving singleton at the finer level;
-    otherwise exactly one hit. ``present`` drops groups in which that key is missing.
+    otherwise exactly one hit. ``present`` drops groups in which that key is missing. ``of`` names
+    the finer level (the one before if empty), and ``fresh`` starts a cascade anew from its members.
     """
 
     name: str
     keys: tuple[str, ...]
     cascade: bool = False
     present: str | None = None
+    of: str = ""
+    fresh: bool = False
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,11 @@ class Family:
     def keys(self) -> tuple[str, ...]:
         return self.levels[0].keys
 
+    @property
+    def common(self) -> tuple[str, ...]:
+        """Keys of every level."""
+        return tuple(k for k in self.keys if all(k in level.keys for level in self.levels))
+
 
 def _region(extra: str = "") -> tuple[Level, ...]:
     return (
@@ -72,8 +80,21 @@ FAMILIES: dict[str, Family] = {
         ),
         "se",
     ),
-    "engine_province": Family(
+    # Both region families over engines at once: the city levels leave out hits without a city.
+    "engine_region": Family(
         "search_region",
+        (
+            Level("sub_city", ("domain", "se_root", "se", "province", "city"), present="city"),
+            Level("root_city", ("domain", "se_root", "province", "city"), cascade=True, present="city"),
+            Level("total_city", ("domain", "province", "city"), cascade=True, present="city"),
+            Level("sub_province", ("domain", "se_root", "se", "province"), of="sub_city", fresh=True),
+            Level("root_province", ("domain", "se_root", "province"), cascade=True),
+            Level("total_province", ("domain", "province"), cascade=True),
+        ),
+        "se",
+    ),
+    "engine_province": Family(
+        "",
         (
             Level("sub_province", ("domain", "se_root", "se", "province")),
             Level("root_province", ("domain", "se_root", "province"), cascade=True),
@@ -82,7 +103,7 @@ FAMILIES: dict[str, Family] = {
         "se",
     ),
     "engine_city": Family(
-        "search_region",
+        "",
         (
             Level("sub_city", ("domain", "se_root", "se", "province", "city")),
             Level("root_city", ("domain", "se_root", "province", "city"), cascade=True),
@@ -138,20 +159,27 @@ def visitor_cells(
 ) -> DataFrame:
     """Traffic, bounce and loyalty cells of all levels of a family; ``hits`` carries ``period``.
 
-    The finest members are exchanged once; coarser levels and the counts of each level read that
-    exchange again instead of the hits.
+    The finest members are exchanged once to combine them, and once more to their home if there are
+    coarser levels, which are all built there; the counts of each level read that exchange again
+    instead of the hits.
     """
     area = family.area if area is None else area
     ids = (m.VISITOR, m.ADDRESS) if "traffic" in parts else (m.VISITOR,)
-    frame = None
-    reports = []
+    prepared = _prepared(hits, family, channel)
+    return cells_of_members(m.members(prepared, ["period", *family.keys], ids, first, area), family, parts, rates)
+
+
+def cells_of_members(frame: DataFrame, family: Family, parts: tuple[str, ...], rates: str = "points") -> DataFrame:
+    """The same cells from the finest members of a family, one row per member."""
+    # Coarser levels start from the members at home; the finest one is counted where its members are.
+    home = m.at_home(frame, ["period", *family.common]) if len(family.levels) > 1 else frame
+    frames = {family.levels[0].name: home}
+    finer, reports = home, []
     for level in family.levels:
         keys = ["period", *level.keys]
-        if frame is None:
-            prepared = _prepared(hits, family, channel)
-            frame = m.members(prepared, keys, ids, first, area)
-        else:
-            frame = m.coarsen(frame, keys)
+        if level is not family.levels[0]:
+            finer = frame = m.coarsen(frames[level.of] if level.of else finer, keys, level.fresh)
+            frames[level.name] = frame
         counts = m.tally(frame, keys, parts, level.cascade, level.present)
         if "bounce" in parts:
             counts = m.bounce_rates(counts, rates)
@@ -172,7 +200,12 @@ def dwell_cells(
     """Average dwell time of all levels of a family; ``dwell`` carries ``period``."""
     area = family.area if area is None else area
     keys = ["period", *family.keys]
-    sums = dwell_ops.dwell_sums(_prepared(dwell, family, channel), keys, area)
+    return cells_of_sums(dwell_ops.dwell_sums(_prepared(dwell, family, channel), keys, area), family, form)
+
+
+def cells_of_sums(sums: DataFrame, family: Family, form: str = "long") -> DataFrame:
+    """The same cells from sums and counts by the finest keys."""
+    keys = ["period", *family.keys]
     if len(family.levels) == 1 and not family.levels[0].present:
         return _labelled(dwell_ops.averages(sums, form), family, family.levels[0])
     sets = [["period", *level.keys] for level in family.levels]

@@ -10,6 +10,7 @@ from ..operators import behaviour, clean, visitors
 from ..operators.merge import merge_cells
 from ..schemas import RESULT_TABLES, STREAMS
 from ..sources import readers, writers
+from . import state
 from .grains import FAMILIES, Family, visitor_cells, dwell_cells, wide_cells
 
 Streams = Mapping[str, DataFrame]
@@ -26,6 +27,14 @@ def clean_logs(
     return readers.batch_days(lines.sparkSession, root, batch)
 
 
+def clean_range(
+    spark: SparkSession, log_root: str, begin: str, end: str, rules: clean.Rules, sites: DataFrame, ranges: DataFrame, root: str, hour_prefix: str = ""
+) -> list[str]:
+    """Clean the log files of all hours from ``begin`` to ``end`` as one run of the batch ``begin``; returns the days to report."""
+    lines = readers.log_range(spark, log_root, begin, end, hour_prefix)
+    return clean_logs(lines, rules, sites, ranges, root, begin)
+
+
 def read_streams(
     spark: SparkSession, root: str, period: str, grain: str = "day", kinds: tuple[str, ...] = tuple(STREAMS)
 ) -> dict[str, DataFrame]:
@@ -100,9 +109,11 @@ def _complete(rows: DataFrame, name: str) -> DataFrame:
     return (rows.withColumns(missing) if missing else rows).select(*names)
 
 
-def report(spark: SparkSession, cleaned_root: str, result_root: str, period: str) -> None:
+def report(spark: SparkSession, cleaned_root: str, result_root: str, period: str, state_root: str | None = None) -> None:
     """Write every result table for one day (or those kept by the hour for one hour).
 
+    With ``state_root``, where ``state.add_batch`` keeps the counters of all batches, the visitor tables of a day come from there and the
+    streams are read for the other tables only.
     A table that fails does not keep the others from being written; all failures are raised together at the end.
     """
     hourly = len(period) == 10
@@ -111,7 +122,9 @@ def report(spark: SparkSession, cleaned_root: str, result_root: str, period: str
     failed: dict[str, Exception] = {}
     for name in HOURLY_TABLES if hourly else RESULT_TABLES:
         try:
-            writers.replace_period(result_table(name, streams, hourly), target, name, period)
+            kept = not hourly and state_root and name in state.tables()
+            rows = state.result_rows(spark, state_root, name, period) if kept else result_table(name, streams, hourly)
+            writers.replace_period(rows, target, name, period)
         except Exception as error:
             failed[name] = error
     if failed:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalars import ip_number, whole_number
 from ..operators.clean import Rules
 from ..schemas import KINDS, OLDER_STREAMS, STREAMS, struct
+from . import versions
 
 FIELD_MARK = "`"
 
@@ -21,6 +24,40 @@ def period_path(root: str, period: str, hour_prefix: str = "") -> str:
     raise ValueError(f"not a day or an hour: {period}")
 
 
+def hours_between(begin: str, end: str) -> list[str]:
+    """All hours (``yyyyMMddHH``) from one day or hour to another, both included."""
+    first = datetime.strptime(begin if len(begin) == 10 else f"{begin}00", "%Y%m%d%H")
+    last = datetime.strptime(end if len(end) == 10 else f"{end}23", "%Y%m%d%H")
+    return [(first + timedelta(hours=n)).strftime("%Y%m%d%H") for n in range(int((last - first).total_seconds() // 3600) + 1)]
+
+
+def log_files(spark: SparkSession, root: str, begin: str, end: str, hour_prefix: str = "") -> list[str]:
+    """Existing log files of all hours from ``begin`` to ``end`` (days or hours) below a log root, in order.
+
+    An hour's files are all that its path begins: ``root/day/prefix + hour`` and what follows the hour (parts, ``.gz``). Each day's folder
+    is listed once, whatever the number of hours, and no other folder is; missing days and hours have no files.
+    """
+    found: list[str] = []
+    hours = hours_between(begin, end)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for day in dict.fromkeys(h[:8] for h in hours):
+        folder = path(period_path(root, day))
+        store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not store.exists(folder):
+            continue
+        wanted = {f"{hour_prefix}{h}" for h in hours if h[:8] == day}
+        size = len(hour_prefix) + 10
+        names = {s.getPath().getName(): s.getPath().toString() for s in store.listStatus(folder)}
+        found += [names[n] for n in sorted(names) if n[:size] in wanted and not n[size : size + 1].isdigit()]
+    return found
+
+
+def log_range(spark: SparkSession, root: str, begin: str, end: str, hour_prefix: str = "", tasks: int | None = None) -> DataFrame:
+    """Raw beacon lines of all hours from ``begin`` to ``end``; no lines where no file exists."""
+    found = log_files(spark, root, begin, end, hour_prefix)
+    return raw_log(spark, *found, tasks=tasks) if found else empty(spark, struct("value"))
+
+
 def raw_log(spark: SparkSession, *paths: str, tasks: int | None = None) -> DataFrame:
     """Raw beacon lines as ``value``; paths may be files, folders or globs.
 
@@ -101,21 +138,22 @@ def cleaned(spark: SparkSession, root: str, kind: str, period: str | None = None
     layout = T.StructType([*fields.values(), *folders])
     with_period = T.StructType([*fields.values(), *struct("day hour").fields])
 
-    def read() -> DataFrame:
-        rows = spark.read.schema(layout).parquet(root).where(F.col("kind") == kind)
-        if period:
-            rows = rows.where(F.col("day") == period[:8])
-        if period and len(period) == 10:
-            rows = rows.where(F.col("hour") == period[8:])
-        return rows.select(*with_period.names)
-
-    return if_present(read, spark, with_period)
+    batches = versions.paths(spark, root)
+    if not batches:
+        return empty(spark, with_period)
+    rows = spark.read.schema(layout).option("basePath", root).parquet(*batches).where(F.col("kind") == kind)
+    if period:
+        rows = rows.where(F.col("day") == period[:8])
+    if period and len(period) == 10:
+        rows = rows.where(F.col("hour") == period[8:])
+    return rows.select(*with_period.names)
 
 
 def batch_days(spark: SparkSession, root: str, batch: str) -> list[str]:
     """Days that a cleaning run wrote records for: those to report again after it."""
     schema = struct("kind day hour")
-    rows = if_present(lambda: spark.read.schema(schema).parquet(f"{root}/batch={batch}"), spark, schema)
+    found = versions.paths(spark, root, lambda part: part == f"batch={batch}")
+    rows = spark.read.schema(schema).parquet(*found) if found else empty(spark, schema)
     return sorted(r["day"] for r in rows.where("kind <> 'rejects'").select("day").distinct().collect())
 
 
