@@ -57,21 +57,28 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 NAMED = "|".join(MALE + FEMALE + ANY)
 SECRET = r"(?i:token|password|passwd|pwd|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
 WORD = r"[\p{Lu}\p{Lo}][\p{L}\p{M}'-]{0,40}"
-PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": rf"(?<![A-Za-z0-9]){SECRET}(?=[+/_-]{{0,64}}[A-Za-z0-9])[A-Za-z0-9+/_-]{{8,}}+",
-    "hex": r"(?<![A-Za-z0-9])(?=[0-9]{0,256}[a-fA-F])[0-9a-fA-F]{32,}+(?![A-Za-z0-9])",
-    "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+#: By what may stand before them, so that most places in a text fail one test for many kinds. Fixed order: the first kind that fits wins.
+AFTER_WORDS = {
+    "email": r"(?<![._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "secret": rf"{SECRET}(?=[+/_-]{{0,64}}[A-Za-z0-9])[A-Za-z0-9+/_-]{{8,}}+",
+    "hex": r"(?=[0-9]{0,256}[a-fA-F])[0-9a-fA-F]{32,}+(?![A-Za-z0-9])",
+    "key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
+    "iban": r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+}
+SIGNED_EMAIL = r"(?<![A-Za-z0-9._%+-])[._%+-][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+NAME = rf"(?:{NAMED})\.? {WORD}(?: {WORD})?"
+NUMBERS = {
     "ip": rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[.-])\d{3,4}[ .-]\d{3,4}(?![\d-])|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)"
     r"|(?<![\d+.,-])(?<!\d )(?:\d{3} \d{3} \d{4}|0\d{2,4} \d{3,4} \d{3,4})(?! ?\d|[.,-]\d)",
     "card": r"(?<![\d.,-])\d(?:[ -]?\d){12,18}(?![\d-])",
-    "name": rf"(?<![\p{{L}}])(?:{NAMED})\.? {WORD}(?: {WORD})?",
 }
 #: Every kind holds a digit, an ``@``, a sign after a word for secrets, a run of hexadecimal letters, or a form of address.
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+ENTITY = (
+    rf"(?<![A-Za-z0-9])(?:(?=[A-Za-z0-9])(?:{'|'.join(f'(?:{p})' for p in AFTER_WORDS.values())})|(?=[._%+-]){SIGNED_EMAIL})"
+    rf"|(?=[+(\d])(?:{'|'.join(f'(?:{p})' for p in NUMBERS.values())})|(?<!\p{{L}})(?=\p{{L}}){NAME}"
+)
 MARKS = rf"[0-9@]|[=:]|[a-fA-F]{{32}}|{NAMED}"
 KINDS = ("email", "secret", "key", "iban", "ip", "ssn", "phone", "card")
 NAMES = ("name_m", "name_f", "name_u")
@@ -335,10 +342,13 @@ def settled(entities: DataFrame, kinds: tuple[str, ...], key: str = KEY) -> Data
     ``entities`` is a stored table (kind, norm, and family for names). Each round settles all that do not clash; the others try again.
     """
     extra = [c for c in entities.columns if c not in ("kind", "norm", "attempt")]
+    # A handful of kinds: those that do not occur need no branch.
+    there = {r["kind"] for r in entities.select("kind").distinct().collect()}
+    kinds = tuple(k for k in kinds if k in there) or kinds[:1]
     real = entities.select("kind", F.col("norm").alias("value"), F.lit(True).alias("taken"))
     open_, done = entities.withColumn("attempt", F.lit(0)), None
     while True:
-        tried = with_made(open_, kinds, key).withColumn("value", normal(F.col("kind"), F.col("given")))
+        tried = stored(with_made(open_, kinds, key).withColumn("value", normal(F.col("kind"), F.col("given"))), "tried")
         # Of equal surrogates the first entity in order keeps it.
         first = tried.groupBy("kind", "value").agg(F.min("norm").alias("first"))
         taken = real if done is None else real.union(done.select("kind", "value", F.lit(True)))
