@@ -47,18 +47,135 @@ class Rules:
     rewrites: list[tuple[str, str]] = field(default_factory=list)
 
 
+#: Up to so many rules each is a test of its own.
+FEW_RULES = 16
+LITERAL = 3
+
+
+def required_literal(pattern: str) -> str | None:
+    """A text that every match of the pattern contains, if one can be read off it: its longest run of plain characters.
+
+    Groups, classes and repeated parts are skipped; a pattern with alternatives, flags or quoted parts outside groups has none.
+    """
+    runs, run, i = [], "", 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "|" or pattern.startswith(("(?", "\\Q"), i) and not pattern.startswith("(?:", i):
+            return None
+        if c in "([":
+            i = _closing(pattern, i)
+            if i < 0:
+                return None
+            c = ""
+        elif c == "\\":
+            i += 1
+            c = pattern[i] if i < len(pattern) and not pattern[i].isalnum() else ""
+        elif c in "^$.*+?{}":
+            c = ""
+        i += 1
+        optional = i < len(pattern) and pattern[i] in "*?{"
+        repeated = i < len(pattern) and pattern[i] == "+"
+        if c and not optional:
+            run += c
+        if not c or optional or repeated:
+            runs.append(run)
+            run = ""
+        if optional and pattern[i] == "{":
+            i = pattern.find("}", i)
+            if i < 0:
+                return None
+    best = max([*runs, run], key=len)
+    return best if len(best) >= LITERAL else None
+
+
+def _closing(pattern: str, i: int) -> int:
+    """Place of the bracket that closes the one at i; -1 for none."""
+    if pattern[i] == "[":
+        j = i + 1
+        depth = 1
+        while j < len(pattern):
+            if pattern[j] == "\\":
+                j += 1
+            elif pattern[j] == "[":
+                depth += 1
+            elif pattern[j] == "]" and j > i + 1 and pattern[i + 1 : j] != "^":
+                depth -= 1
+                if not depth:
+                    return j
+            j += 1
+        return -1
+    j = i + 1
+    while j < len(pattern) and pattern[j] != ")":
+        if pattern[j] in "([":
+            j = _closing(pattern, j)
+            if j < 0:
+                return -1
+        elif pattern[j] == "\\":
+            j += 1
+        j += 1
+    return j if j < len(pattern) else -1
+
+
+def any_literal(literals: list[str]) -> str:
+    """A pattern that finds any of the literals, with common beginnings written once: a place in a text meets the first signs only."""
+    tree: dict = {}
+    for text in sorted(set(literals)):
+        node = tree
+        for c in text:
+            if "" in node:
+                break
+            node = node.setdefault(c, {})
+        else:
+            # What begins with this literal is found by it.
+            node.clear()
+            node[""] = {}
+
+    def written(node: dict) -> str:
+        tail = ""
+        while len(node) == 1 and "" not in node:
+            ((c, node),) = node.items()
+            tail += re.sub(r"([^\w])", r"\\\1", c, flags=re.ASCII) if c.isascii() else c
+        if "" in node:
+            return tail
+        return f"{tail}(?:{'|'.join(written({c: sub}) for c, sub in sorted(node.items()))})"
+
+    return written(tree)
+
+
 def blacklisted(line: Column | str, filters: list[str]) -> Column:
-    """True when any rule occurs in the line; rules without pattern syntax are plain substrings."""
+    """True when any rule occurs in the line; rules without pattern syntax are plain substrings.
+
+    Of many rules the literals that their matches must contain are looked for first, all at once; the patterns themselves are tried on
+    lines that hold one. Rules without such a literal remain tests of their own.
+    """
     line = col(line)
     plain = [f for f in filters if not PATTERN_SYNTAX.search(f)]
     patterns = [f for f in filters if PATTERN_SYNTAX.search(f)]
-    tests = [F.contains(line, F.lit(f)) for f in plain]
-    if patterns:
+    if len(filters) <= FEW_RULES:
         # Each rule is a test of its own: flags and group numbers of one do not reach another.
-        tests += [line.rlike(p) for p in patterns]
+        tests = [F.contains(line, F.lit(f)) for f in plain] + [line.rlike(p) for p in patterns]
+        return reduce(or_, tests, F.lit(False))
+    # Numbers of groups would change inside one pattern of all.
+    joined = {p: required_literal(p) for p in patterns if not re.search(r"\\[1-9k]", p)}
+    joined = {p: literal for p, literal in joined.items() if literal}
+    tests = [line.rlike(p) for p in patterns if p not in joined]
+    if plain:
+        tests.append(line.rlike(any_literal(plain)) if all(plain) else F.lit(True))
+    if joined:
+        whole = "|".join(f"(?:{p})" for p in joined)
+        tests.append(line.rlike(any_literal(list(joined.values()))) & line.rlike(whole))
     return reduce(or_, tests, F.lit(False))
 
 
+def canonical_url(url: Column | str, rewrites: list[tuple[str, str]]) -> Column:
+    """The URL by the first rule that fits; of many rules none is tried on a URL that holds none of their literals."""
+    url = col(url)
+    literals = [required_literal(p) for p, _ in rewrites]
+    if len(rewrites) <= FEW_RULES or not all(literals):
+        return rewritten(url, rewrites)
+    return F.when(url.rlike(any_literal(literals)), rewritten(url, rewrites)).otherwise(url)
+
+
 def line_fields(line: Column | str) -> Column:
     """Fields of a line; adjacent separators count as one, so an empty field vanishes."""
     return F.split(F.btrim(col(line), F.lit(SEP)), SEP + "+")
@@ -80,22 +197,95 @@ def parameter(query: Column, name: str) -> Column:
     return F.when(F.contains(query, F.lit(start)), value)
 
 
+#: A text that re-quoting reads as the state machine would: bare names, plain numbers, bare words without signs of their own.
+_BARE_VALUE = r"(?:-?(?:0|[1-9]\d*)(?:\.\d+)?|[A-Za-z_%][^\s\"',:;=#/\\{}\[\]]*)"
+_BARE_OBJECT = rf"\{{[A-Za-z_]\w*:{_BARE_VALUE}(?:,[A-Za-z_]\w*:{_BARE_VALUE})*\}}"
+SIMPLE_HOT = rf"^\[{_BARE_OBJECT}(?:,{_BARE_OBJECT})*\]$"
+#: Tokens: quoted text, signs, and bare text up to a sign, which may hold blanks and apostrophes.
+HOT_TOKEN = (
+    r"\"(?:\\[^\r\n]|[^\"\\\r\n])*\"|'(?:\\[^\r\n]|[^'\\\r\n])*'|=>|[\[\]{}:,;=]"
+    r"|[^\x00-\x20,:\]}/\\\"\[{;=#'][^\x00-\x1f,:\]}/\\\"\[{;=#]*|[^\x00-\x20]"
+)
+HOT_FIELDS = ("x", "y", "t", "u")
+
+
 def parse_hot(text: Column | str) -> Column:
-    """Click coordinates from JSON text whose names and values may lack quotes.
+    """Click coordinates from JSON text that is read tolerantly; null where the text is malformed.
 
-    Text that starts with a bare name goes straight to the lenient reading; the strict one would
-    fail on it, which costs an exception per line.
+    Names and values may lack quotes or stand in single ones, ``=`` and ``=>`` count as ``:`` and ``;`` as ``,``, a comma may close a list,
+    and what follows the list is ignored. A bare value ends at a sign, so one that holds a ``:`` is malformed; a bare number keeps no
+    trailing zeros, a quoted one stays as it is; a repeated name, a value that is a list or an object, and an open end are malformed.
     """
     text = col(text)
-    bare = text.rlike(r"^\s*\[\s*\{\s*[A-Za-z_]")
-    options = {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"}
+    simple = F.coalesce(text.rlike(SIMPLE_HOT) & ~text.rlike(r"[{,](\w+):[^}]*,\1:"), F.lit(False))
+    return F.when(simple, _requoted_hot(text)).otherwise(_tokens_hot(text))
+
+
+def _requoted_hot(text: Column) -> Column:
     # Bare numbers keep no trailing zeros; then every bare value but null becomes text.
-    quoted = F.regexp_replace(text, r"(:\s*-?\d+(?:\.\d*?[1-9])?)\.?0*(?=\s*[,}])", "$1")
-    quoted = F.regexp_replace(
-        quoted, r""":\s*(?!null\s*[,}])([^"'\s,\[\]{}:][^"',\[\]{}:]*?)\s*(?=[,}])""", ':"$1"'
+    quoted = F.regexp_replace(text, r"(:-?\d+(?:\.\d*?[1-9])?)\.?0*(?=[,}])", "$1")
+    quoted = F.regexp_replace(quoted, r":(?!(?i:null)[,}])([^,}]+)", ':"$1"')
+    return F.from_json(F.regexp_replace(quoted, r":(?i:null)(?=[,}])", ":null"), HOT_TYPE, {"allowUnquotedFieldNames": "true"})
+
+
+def _hot_value(token: Column) -> Column:
+    """Text of a value token; null for a bare ``null``."""
+    inner = F.substr(token, F.lit(2), F.length(token) - 2)
+    as_json = F.concat(F.lit('["'), F.replace(F.replace(inner, F.lit("\\'"), F.lit("'")), F.lit('"'), F.lit('\\"')), F.lit('"]'))
+    as_json = F.when(F.startswith(token, F.lit('"')), F.concat(F.lit("["), token, F.lit("]"))).otherwise(as_json)
+    quoted = F.when(F.contains(token, F.lit("\\")), F.get(F.from_json(as_json, "array<string>"), F.lit(0))).otherwise(inner)
+    bare = F.trim(token)
+    number = F.when(bare.rlike(r"^-?[0-9][0-9.]*([eE][+-]?[0-9]+)?$") & bare.rlike("[.eE]"), bare.try_cast("double").cast("string"))
+    number = F.when(~F.contains(number, F.lit("E")), F.regexp_replace(number, r"\.?0+$", "")).otherwise(number)
+    lower = F.lower(bare)
+    return (
+        F.when(token.rlike("^[\"']"), quoted)
+        .when(lower == "null", F.lit(None).cast("string"))
+        .when(lower.isin("true", "false"), lower)
+        .otherwise(F.coalesce(number, bare))
     )
-    lenient = F.from_json(quoted, HOT_TYPE, options)
-    return F.when(bare, lenient).otherwise(F.coalesce(F.from_json(text, HOT_TYPE, options), lenient))
+
+
+def _tokens_hot(text: Column) -> Column:
+    """The same by a state machine over the tokens of the text."""
+    # Before the list, before an element, after one; before a name, its colon, its value, after it; behind the list; malformed.
+    start, element, after_element, name, colon, value, after_value, end, bad = range(9)
+    none = F.lit(None).cast("string")
+    blank_point = F.struct(*[none.alias(c) for c in HOT_FIELDS])
+    begin = F.struct(F.lit(start).alias("at"), none.alias("name"), blank_point.alias("point"), F.array().cast(HOT_TYPE).alias("out"))
+
+    def step(acc: Column, token: Column) -> Column:
+        is_text = token.rlike("^([\"'].+|[^\\[\\]{}:,;=/\\\\#\"'].*)$") & (token != "=>")
+        at, comma = acc["at"], token.isin(",", ";")
+        known = [(acc["name"] == c) & acc["point"][c].isNotNull() for c in HOT_FIELDS]
+        again = reduce(or_, known)
+        following = (
+            F.when(at == end, end)
+            .when((at == start) & (token == "["), element)
+            .when((at == element) & (token == "{"), name)
+            .when((at == element) & (token == "]"), end)
+            .when((at == after_element) & comma, element)
+            .when((at == after_element) & (token == "]"), end)
+            .when((at == name) & (token == "}"), after_element)
+            .when((at == name) & is_text, colon)
+            .when((at == colon) & token.isin(":", "=", "=>"), value)
+            .when((at == value) & is_text & ~F.coalesce(again, F.lit(False)), after_value)
+            .when((at == after_value) & comma, name)
+            .when((at == after_value) & (token == "}"), after_element)
+            .otherwise(bad)
+        )
+        closes = at.isin(name, after_value) & (token == "}")
+        opens = (at == element) & (token == "{")
+        field = lambda c: F.when((at == value) & (acc["name"] == c), _hot_value(token)).when(~opens, acc["point"][c]).alias(c)
+        return F.struct(
+            following.alias("at"),
+            F.when((at == name) & is_text, _hot_value(token)).otherwise(acc["name"]).alias("name"),
+            F.struct(*map(field, HOT_FIELDS)).alias("point"),
+            F.when(closes, F.concat(acc["out"], F.array(acc["point"]))).otherwise(acc["out"]).alias("out"),
+        )
+
+    read = F.aggregate(F.regexp_extract_all(text, F.lit(HOT_TOKEN), F.lit(0)), begin, step)
+    return F.when(read["at"] == end, read["out"])
 
 
 def parse(lines: DataFrame, rules: Rules | None = None, text: str = "value") -> DataFrame:
@@ -155,7 +345,7 @@ def parse(lines: DataFrame, rules: Rules | None = None, text: str = "value") ->
         .when(F.col("u_text").isNull() & blank("u"), "no_page")
         .when(bad_url, "bad_url")
     )
-    canonical = lambda c: without_query(rewritten(c, rules.rewrites))
+    canonical = lambda c: without_query(canonical_url(c, rules.rewrites))
     record = F.struct(
         "line",
         "path",

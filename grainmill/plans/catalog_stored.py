@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scalars as sc
-from ..operators import behaviour, geo, sketches
+from ..operators import behaviour, clean, geo, sketches
 from ..session import remove
 from ..sources import readers, writers
 from . import fixture as fx, oracle as o, state
@@ -178,3 +178,56 @@ def ip_nested_ranges(spark, d):
     """The most specific range of each address, where ranges lie inside and across each other."""
     hits = fx.hits(spark, d).groupBy("ip").agg(F.count(F.lit(1)).alias("hits"))
     return geo.locate(hits, nested_ranges(spark, d)).select("ip", "hits", "country", "area")
+
+
+# ---- rules and click texts --------------------------------------------------------------------
+
+_MANY = [rf"wid={3 * n}[;]" for n in range(2000)]
+
+
+@register(
+    "many_rules",
+    f"select {o.DAY} as period, count(*) as lines, count(case when event_id%50<>23 and user_id%37<>0 and user_id%3=0 and user_id<6000 then 1 end) as listed "
+    "from events group by all",
+)
+def many_rules(spark, d):
+    """Lines that any of 2,000 patterns occurs in."""
+    lines = fx.raw_lines(spark, d).withColumn("period", F.translate(F.substring(F.split("value", sc.SEP)[2], 1, 10), "-", ""))
+    return lines.groupBy("period").agg(F.count(F.lit(1)).alias("lines"), F.count_if(clean.blacklisted("value", _MANY)).alias("listed"))
+
+
+# Click texts by event_id % 10, with what each one holds: x, y and u, or nothing.
+_SHAPES = [
+    ("concat('[{x:',k,',y:2.50,t:b}]')", "k", "'2.5'", "null"),
+    ("concat('[{x:',k,',y:2,t:a,u:http://a.b/',k,'}]')", None, None, None),
+    ("concat('[{''x'':',k,',\"y\":''2.50'',t:a,u:\"a:b,',k,'\"}]')", "k", "'2.50'", "concat('a:b,',k)"),
+    ("concat('[{x:1,y:',k)", None, None, None),
+    ("concat('[{x:',k,';y=2;t=>b},] tail {')", "k", "'2'", "null"),
+    ("concat('[{x:',k,',y:7,t:a,u:''it said \"hi\"''}]')", "k", "'7'", "'it said \"hi\"'"),
+    ("concat('[{x:',k,',y:5,y:6}]')", None, None, None),
+    ("concat('[ { x : ',k,' , y : two words , u : null } ]')", "k", "'two words'", "null"),
+    ("concat('[{x:',k,',y:{a:1}}]')", None, None, None),
+    ("concat('[{y:007,x:',k,'.0,u:http%3A%2F%2Fa}]')", "k", "'007'", "'http%3A%2F%2Fa'"),
+]
+
+
+def _by_shape(i: int) -> str:
+    cases = " ".join(f"when {n} then {_text(shape[i])}" for n, shape in enumerate(_SHAPES) if shape[i])
+    return f"case event_id%10 {cases} end"
+
+
+def _text(part: str) -> str:
+    return part.replace(",k,", ",cast(k as string),").replace(",k)", ",cast(k as string))") if part != "k" else "cast(k as string)"
+
+
+_READABLE = ", ".join(str(n) for n, shape in enumerate(_SHAPES) if shape[1])
+
+
+@register(
+    "click_json_shapes",
+    f"with e as (select *, {fx.K} as k from events) select event_id, {_by_shape(1)} as x, {_by_shape(2)} as y, {_by_shape(3)} as u from e where event_id%10 in ({_READABLE})",
+)
+def click_json_shapes(spark, d):
+    """Click texts of many shapes, each with the coordinates that a tolerant reader finds in it."""
+    texts = fx.events(spark, d).select("event_id", F.expr(_by_shape(0).replace("''", "\\'")).alias("hot"))
+    return texts.select("event_id", F.explode(clean.parse_hot("hot")).alias("p")).select("event_id", "p.x", "p.y", "p.u")

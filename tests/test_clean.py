@@ -1,5 +1,8 @@
 """Raw lines: what is kept, defaulted, decoded, rewritten and rejected."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +167,55 @@ def test_large_site_lists_are_salted(spark):
     for limit in (None, 0):
         got = {r.line: r.tracked for r in clean.mark_tracked(lines, sites, limit).collect()}
         assert got == {"l1": True, "l2": False, "l3": False, "l4": True}
+
+
+HOT = {
+    '[{x:272.5,y:615,t:b}]': [("272.5", "615", "b", None)],
+    "[{x:1,y:2,t:a,u:http://a}]": None,
+    """[{'x':1,"y":'2',t:a,u:"a:b,c"}]""": [("1", "2", "a", "a:b,c")],
+    "[{x:1,y:2": None,
+    "[{x:1;y=2;t=>b},]junk": [("1", "2", "b", None)],
+    '[{x:12.50,y:"12.50",t:b}]': [("12.5", "12.50", "b", None)],
+    """[{x:1,y:2,t:a,u:'it said "hi"'}]""": [("1", "2", "a", 'it said "hi"')],
+    "[{x:null,y:5,y:6}]": None,
+    "[{x:1,y:5,y:6}]": None,
+    "[]": [],
+    "[{}]": [(None, None, None, None)],
+    "{x:1}": None,
+    "[{x:1,y:2,t:a,u:http%3A%2F%2Fa.b},{x:3,y:4.00,t:b}]": [("1", "2", "a", "http%3A%2F%2Fa.b"), ("3", "4", "b", None)],
+    "[ { x : 5 , y : two words , t : null } ]": [("5", "two words", None, None)],
+    r'[{x:1,y:"a\"b\u0041"}]': [("1", 'a"bA', None, None)],
+    "": None,
+    "[{x:1,,}]": None,
+    "[{x:{a:1}}]": None,
+    "[{x:TRUE,y:007,t:00.50}]": [("true", "007", "0.5", None)],
+    "[{u:it's}]": [(None, None, None, "it's")],
+    "[{x:1}{x:2}]": None,
+}
+
+
+def test_click_texts_of_many_shapes(spark):
+    frame = spark.createDataFrame([(t,) for t in HOT], "t string")
+    read = frame.select("t", clean.parse_hot("t").alias("p"), clean._tokens_hot(F.col("t")).alias("q")).collect()
+    shown = lambda points: None if points is None else [tuple(p) for p in points]
+    assert {r.t: shown(r.p) for r in read} == HOT == {r.t: shown(r.q) for r in read}
+
+
+def test_literal_of_a_rule():
+    cases = {r"crawler/[0-9]+\.0": "crawler/", "abc?def": "def", "(x|y)longer": "longer", "a|b": None, "(?i)foo": None, r"ab\.cd+ef": "ab.cd", "[^]x]yyy+z": "yyy", "foo(?:bar)baz.*": "foo", r"\d+abc\b": "abc", "ab": None, "(open": None, r"\Qabc\E": None, "abc{0,2}defg": "defg"}
+    assert {p: clean.required_literal(p) for p in cases} == cases
+
+
+def test_many_rules_equal_the_chain(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randrange(3, 6)))
+    rules = [rng.choice([word, lambda: f"{word()}/[0-9]+", lambda: f"(?:x|y){word()}?{word()}", lambda: f"(?i){word()}{word()}", lambda: rf"({word()})-\\1", lambda: f"{word()}.{word()}$"])() for _ in range(400)]
+    lines = ["".join(rng.choice("abcdeABxy/-3 ") for _ in range(rng.randrange(0, 14))) for _ in range(600)] + [None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, t string")
+    got = {r.i for r in frame.where(clean.blacklisted("t", rules)).collect()}
+    want = {i for i, t in enumerate(lines) if t is not None and any(re.search(p, t) for p in rules)}
+    assert 50 < len(want) < 600 and got == want
+    rewrites = [(f"{word()}{n}", f"<{n}>") for n in range(40)]
+    urls = [f"http://a/{rng.choice(rewrites)[0]}/{rng.choice(rewrites)[0]}" for _ in range(40)] + ["http://none"]
+    both = spark.createDataFrame([(u,) for u in urls], "u string").select(clean.canonical_url("u", rewrites).alias("a"), clean.rewritten("u", rewrites).alias("b")).collect()
+    assert all(r.a == r.b for r in both)
