@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.location import UNKNOWN_AREA, UNKNOWN_COUNTRY, area_of, city_of, province_of
 from ..functions.scalars import ip_number
+from ..session import written
 from .sizing import broadcast_if_small, is_small
 
 # Rows of one address that a single task still joins easily.
@@ -179,7 +180,8 @@ def locate_by_window(
 
 
 def _locate(df: DataFrame, pieces: DataFrame, ip: str, unknown: dict[str, Column]) -> DataFrame:
-    cut = prefix_pieces(pieces)
+    # Taken apart once: its size and the three broadcasts are read from what was written.
+    cut = written(prefix_pieces(pieces), "address-pieces")
     if is_small(cut):
         return locate_by_broadcast(df, cut, ip, unknown)
     return locate_by_window(df, pieces, ip, unknown)

@@ -36,6 +36,13 @@ def shared_folder(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame computed once into the shared folder, where it stays until the folder is cleared."""
+    path = shared_folder(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def kept(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """The frame computed once into the shared folder; its files go when the block ends."""

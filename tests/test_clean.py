@@ -210,11 +210,11 @@ def test_many_rules_equal_the_chain(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randrange(3, 6)))
     rules = [rng.choice([word, lambda: f"{word()}/[0-9]+", lambda: f"(?:x|y){word()}?{word()}", lambda: f"(?i){word()}{word()}", lambda: rf"({word()})-\\1", lambda: f"{word()}.{word()}$"])() for _ in range(400)]
-    lines = ["".join(rng.choice("abcdeABxy/-3 ") for _ in range(rng.randrange(0, 14))) for _ in range(600)] + [None]
+    lines = ["".join(rng.choice("aabbccddeexy/-3") for _ in range(rng.randrange(0, 30))) for _ in range(400)] + [None]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, t string")
     got = {r.i for r in frame.where(clean.blacklisted("t", rules)).collect()}
     want = {i for i, t in enumerate(lines) if t is not None and any(re.search(p, t) for p in rules)}
-    assert 50 < len(want) < 600 and got == want
+    assert 50 < len(want) < 400 and got == want
     rewrites = [(f"{word()}{n}", f"<{n}>") for n in range(40)]
     urls = [f"http://a/{rng.choice(rewrites)[0]}/{rng.choice(rewrites)[0]}" for _ in range(40)] + ["http://none"]
     both = spark.createDataFrame([(u,) for u in urls], "u string").select(clean.canonical_url("u", rewrites).alias("a"), clean.rewritten("u", rewrites).alias("b")).collect()
