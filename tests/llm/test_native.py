@@ -6,7 +6,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from grainmill.llm import mixing, quality, urlfilter
+from grainmill.llm import common, mixing, quality, urlfilter
+from grainmill.operators import sizing
 
 DOCS = "doc_id long, text string, lang string, source string, salt string, size string, kept string"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -164,3 +165,36 @@ def test_url_rules(spark):
 def test_digest_is_of_the_whole_key(spark):
     keyed = urlfilter.keyed_rules(spark.createDataFrame([("net", "/a/b", "block")], "host string, path string, verdict string")).first()
     assert keyed.r_digest == hashlib.sha256(b"net\n/a/").hexdigest() and keyed.r_short == keyed.r_digest[:8]
+
+
+def test_join_is_on_the_short_prefix(spark, monkeypatch):
+    """Also where the rules are too many to broadcast, and where prefixes collide."""
+    sites = spark.createDataFrame([("a.net", "/en/x", 1), ("b.org", "/", 2)], "host string, path string, d_n long").withColumn("d_key", F.unhex(F.sha2("host", 256)))
+    rules = spark.createDataFrame([(f"{c}.net", "/en/", "block") for c in "abcdefgh"], "host string, path string, verdict string")
+    for limit, digits in ((2**26, 8), (0, 8), (0, 1)):
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(urlfilter, "PREFIX_HEX", digits)
+        best = urlfilter.best_rules(sites, rules)
+        assert re.search(r"Join \[short#\d+\], \[r_short#\d+\]", best._jdf.queryExecution().executedPlan().toString())
+        assert sorted((r.d_n, r.rule) for r in best.collect()) == [(1, "a.net/en/"), (2, None)]
+
+
+def test_hot_url(spark):
+    """A third of all rows on one URL, another third without any: dealt over keys of their own, verdicts as for all."""
+    rows = [(i, "http://a.net/x" if i % 3 == 0 else None if i % 3 == 1 else f"http://h{i}.example.com/de/") for i in range(6000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    table = spark.createDataFrame(urlfilter.RULES, "host string, path string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.url_verdicts(pages, table).collect()}
+    assert len(got) == 6000
+    for i, (rule, verdict) in got.items():
+        assert (rule, verdict) == (("net/", "block"), (None, "allow"), ("example.com/de/", "block"))[i % 3]
+
+
+def test_join_by_count_deals_hot_keys(spark):
+    digest = F.unhex(F.sha2(F.col("k").cast("string"), 256))
+    rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id")).alias("k"))
+    dim = rows.where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("d_n")).select(digest.alias("d_key"), "d_n", F.col("k").alias("found"))
+    placed, _ = common._placed(rows, digest, dim, 6000)
+    assert placed.groupBy("_row_key").count().agg(F.max("count")).first()[0] == 1
+    got = common.join_by_count(rows, digest, dim, 6000)
+    assert got.columns == ["id", "k", "found"] and got.count() == 9000 and got.where("not (k <=> found)").count() == 0
