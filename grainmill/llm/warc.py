@@ -1,9 +1,10 @@
 """WARC archives with revisits resolved: equal payloads are stored once.
 
-Only headers are shuffled by payload digest; each digest's smallest id is found with partial aggregation, so a payload that
-fills a third of the rows is no hot task. Records are rendered as text by Spark's own writer: records end in two line breaks,
-which is the writer's line separator, so its commit protocol also covers lost tasks. Archives are read without splitting a
-file, piece by piece, and records are cut by their Content-Length, whatever the payload holds.
+Only headers are shuffled by payload digest; each digest's smallest id is found with partial aggregation. Digests that more than a
+thousandth of the repeated payloads share, less than a thousand, are broadcast to their records, and so are the responses that
+as many revisits name; so a payload that fills a third of the rows is no hot task. Records are rendered as text by Spark's own writer: records end in two line breaks,
+which is the writer's line separator, so its commit protocol also covers lost tasks. Archives are read once, without splitting a
+file, piece by piece, and records are cut by their Content-Length, whatever the payload holds; their headers are kept in the shared folder.
 
 Defined results: null payload is the empty payload; payloads below ``least_bytes`` are always responses; a null id sorts after
 all others; rows that repeat the smallest id of their payload are all responses; an empty table gives an archive without
@@ -19,7 +20,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import scratch
+from .common import join_by_count, scratch, stored
 
 BREAK = "\r\n\r\n"
 LEAST_BYTES = 100
@@ -30,17 +31,17 @@ def resolve_revisits(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFr
     """page_id, url, payload, payload_bytes, payload_digest, record_type and refers_to of every row of (page_id, url, html)."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     digest = F.sha2(payload, 256)
-    rows = pages.select("page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), digest.alias("payload_digest"))
-    heads = pages.select("page_id", F.octet_length(payload).alias("b"), F.unhex(digest).alias("d")).where(F.col("b") >= least_bytes)
-    # Payloads found once are responses and need no join.
-    first = heads.groupBy("d").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
-    again = heads.join(first.select(F.col("d").alias("f_d"), "first"), F.col("d") == F.col("f_d"))
-    again = again.where(~F.col("page_id").eqNullSafe(F.col("first"))).select(
-        F.col("page_id").alias("a_id"), F.hex("d").alias("a_digest"), F.col("first").alias("refers_to")
-    )
-    again = again.distinct()
-    same = F.col("page_id").eqNullSafe(F.col("a_id")) & (F.upper("payload_digest") == F.col("a_digest"))
-    joined = rows.join(again, same, "left").drop("a_id", "a_digest")
+    n_bytes = F.octet_length(payload).cast("long")
+    rows = pages.select("page_id", "url", payload.alias("payload"), n_bytes.alias("payload_bytes"), digest.alias("payload_digest"))
+    heads = pages.where(n_bytes >= least_bytes).select("page_id", F.unhex(digest).alias("d_key"))
+    # Payloads found once are responses and need no entry.
+    first = heads.groupBy("d_key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("d_n"))
+    first = stored(first.where("d_n > 1 and first is not null"), "warc-first")
+    total = first.agg(F.sum("d_n")).first()[0] or 0
+    key = F.when(F.col("payload_bytes") >= least_bytes, F.unhex("payload_digest"))
+    joined = join_by_count(rows, key, first, total)
+    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    joined = joined.withColumn("refers_to", F.when(again, F.col("first"))).drop("first")
     return joined.withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
 
 
@@ -128,10 +129,14 @@ def resolved_records(records: DataFrame) -> DataFrame:
     own = records.where("record_type = 'response'").select(
         "record_id", "target_uri", "record_type", "refers_to", F.col("digest_read").alias("payload_digest"), F.col("n_read").alias("payload_bytes")
     )
-    origin = own.select(F.col("record_id").alias("o_id"), F.col("payload_digest").alias("o_digest"), F.col("payload_bytes").alias("o_bytes")).distinct()
     again = records.where("record_type = 'revisit'").drop("payload_bytes", "n_read", "digest_read")
-    again = again.join(origin, (F.col("refers_to") == F.col("o_id")) & (F.col("payload_digest") == F.col("o_digest")))
-    again = again.select("record_id", "target_uri", "record_type", "refers_to", F.col("o_digest").alias("payload_digest"), F.col("o_bytes").alias("payload_bytes"))
+    named = again.groupBy("refers_to", "payload_digest").agg(F.count(F.lit(1)).alias("d_n"))
+    origin = own.select(F.col("record_id").alias("o_id"), F.col("payload_digest").alias("o_digest"), "payload_bytes").distinct()
+    named = named.join(origin, (F.col("refers_to") == F.col("o_id")) & (F.col("payload_digest") == F.col("o_digest")))
+    original = F.unhex(F.sha2(F.concat_ws("/", F.col("refers_to").cast("string"), "payload_digest"), 256))
+    named = stored(named.select(original.alias("d_key"), "d_n", "payload_bytes"), "warc-named")
+    total = named.agg(F.sum("d_n")).first()[0] or 0
+    again = join_by_count(again, original, named, total).where("payload_bytes is not null")
     return own.unionByName(again)
 
 
@@ -140,4 +145,4 @@ def archived(pages: DataFrame, path: str | None = None, least_bytes: int = LEAST
     spark = pages.sparkSession
     path = path or scratch(spark, "warc")
     write_archives(resolve_revisits(pages, least_bytes), path)
-    return resolved_records(read_archives(spark, path))
+    return resolved_records(stored(read_archives(spark, path), "warc-headers"))

@@ -54,3 +54,15 @@ def test_payloads_that_end_in_line_breaks(spark, tmp_path):
             got = {r.record_id: (r.n_read, r.digest_read) for r in reader.collect()}
             want = rows if files > 1 else rows[:1]
             assert got == {i: (len(p), hashlib.sha256(p.encode()).hexdigest()) for i, _, p in want}
+
+
+def test_hot_payload(spark, tmp_path):
+    """A third of the pages with one payload, some of them without an id, and copies in pairs."""
+    rows = [(i if i % 30 else None, "u", LONG if i % 3 == 0 else "y" * 100 + str(i // 6)) for i in range(3000)]
+    got = warc.archived(pages(spark, rows), str(tmp_path / "hot")).collect()
+    first = {}
+    for i, _, html in rows:
+        if i is not None:
+            first[html] = min(i, first.get(html, i))
+    want = [(i, len(html), None if i == first[html] else first[html]) for i, _, html in rows]
+    assert sorted(((r.record_id, r.payload_bytes, r.refers_to) for r in got), key=str) == sorted(want, key=str)
