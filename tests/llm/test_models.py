@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from grainmill.llm import decontaminate, ordinal
 
@@ -87,6 +88,44 @@ def test_leaks(spark, prose):
     assert left.columns == ["doc_id", "text", "hits", "row"] and left.count() == sum(not g for g in got.values())
 
 
+def test_recall_of_reworded_items(spark, prose):
+    """A tenth of the words dropped and a tenth replaced: what the word rule admits is found, at every length; exact items aside."""
+    rnd = random.Random(8)
+    lengths = ((8, 11), (12, 20), (21, 60), (61, 130))
+    items, docs, admitted = [], [], {g: [] for g in lengths}
+    for g in lengths:
+        for _ in range(60):
+            item = prose(rnd.randint(*g))
+            changed = [rnd.choice(item) if x < 0.2 else w for w in item if (x := rnd.random()) >= 0.1]
+            words = prose(rnd.choice([60, 150, 400]))
+            at = rnd.randrange(len(words))
+            words[at:at] = changed
+            if changed != item and decontaminate.common_subsequence(item, changed) >= decontaminate.SURE * len(item):
+                admitted[g].append(len(items))
+            items.append((len(items), " ".join(item)))
+            docs.append((len(docs), " ".join(words)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.benchmark_hits(frame(spark, docs), bench).collect()
+    got = {r.doc_id: {h.item_id for h in r.hits} for r in rows}
+    for g, planted in admitted.items():
+        assert len(planted) >= 25 and sum(k in got[k] for k in planted) >= 0.9 * len(planted), g
+    # Nothing else is drawn from the layout of rows.
+    again = decontaminate.benchmark_hits(frame(spark, docs[::-1]).repartition(3), bench, fit_passages=200)
+    other = decontaminate.benchmark_hits(frame(spark, docs).coalesce(1), bench, fit_passages=200)
+    hits = lambda df: {r.doc_id: {h.item_id for h in r.hits} for r in df.collect()}
+    assert hits(again) == hits(other)
+
+
+def test_sample_is_by_content(spark, prose):
+    docs = frame(spark, [(i, " ".join(prose(100 + i))) for i in range(60)] + [(60 + i, "the same text " * 40) for i in range(60)])
+    items = decontaminate.Items.of([{"item_id": 1, "text": " ".join(prose(400))}])
+    counted = lambda df: df.select("text").mapInArrow(decontaminate._counter(items, 0.5), "term int, n long, passage binary")
+    counts = lambda df: sorted(map(tuple, counted(df).where("term > -2").groupBy("term").agg(F.sum("n")).collect()))
+    sample = lambda df: {(r.n, bytes(r.passage)) for r in counted(df).where("term = -2").collect()}
+    one, many = docs.coalesce(1), docs.orderBy(F.desc("doc_id")).repartition(7)
+    assert counts(one) == counts(many) and sample(one) == sample(many) and len(sample(one)) > 50
+
+
 def test_leaks_of_odd_rows(spark):
     item = " ".join(f"q{i}" for i in range(20))
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
