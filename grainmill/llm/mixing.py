@@ -12,6 +12,9 @@ Each source's blocks are then apportioned in the same way to its shards (documen
 Selection. Inside a shard the documents stand in the order of a keyed digest, and its n blocks receive q copies: block j gets
 floor((j + 1 + r) q / n) - floor((j + r) q / n) of them, r from the key. No block gets more than REPEATS copies.
 
+Documents without words are left out of the order, so a source of empty texts fills no shard. Texts of one id, source and size are told
+apart by their digests; exact copies with one id stand in one shard.
+
 Defined results: null text has size 0; null source is one source; repeated doc_ids are separate documents; an empty table gives
 no rows; sources without words have target 0. The table of sources, one row each, is ordered in one task: weights are given by
 source, so it is a list that people keep.
@@ -90,12 +93,14 @@ def apportion(parties: DataFrame, seats: Column, claim: Column, most: Column, gr
 def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, key: str = KEY) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, and where the document's words lie in its shard.
 
-    ``start`` is the place of its first word, ``copies`` and ``blocks`` are the q and n of the shard, ``turn`` its r.
+    ``start`` is the place of its first word, ``copies`` and ``blocks`` are the q and n of the shard, ``turn`` its r; ``content`` is the
+    digest of the text.
     """
     # Documents without an id are told apart by their texts, so that they are spread over the shards too.
+    content = _content()
     ident = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary")), F.lit(""))
     digest = F.md5(F.concat_ws("/", F.lit(key), ident).cast("binary"))
-    sizes = docs.select("doc_id", "source", F.size(words("text")).cast("long").alias("size"), digest.alias("digest"))
+    sizes = docs.select("doc_id", "source", F.size(words("text")).cast("long").alias("size"), digest.alias("digest"), content.alias("content"))
     sizes = stored(sizes, "mixing")
     sources = source_targets(sizes)
     shards_of = F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))
@@ -115,7 +120,8 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SH
         .withColumn("shard", F.pmod(number, F.col("n_shards")))
         .drop("s_source", "s_salt", "salt", "n_shards")
     )
-    shards = placed.groupBy("source", "shard").agg(
+    ordered = placed.where("size > 0")
+    shards = ordered.groupBy("source", "shard").agg(
         F.sum("size").alias("shard_size"), F.max("source_quota").alias("source_quota"), F.max("target").alias("source_target")
     )
     shards = shards.withColumn("blocks", F.ceil(F.col("shard_size") / block_words).cast("long"))
@@ -127,14 +133,18 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SH
         F.col("source").alias("h_source"), F.col("shard").alias("h_shard"), "blocks", F.col("quota").alias("copies"),
         F.when(F.col("blocks") > 0, turn.cast("long") % F.col("blocks")).otherwise(0).alias("turn"),
     )
-    line = Window.partitionBy("source", "shard").orderBy("digest", "doc_id", "size")
-    placed = placed.withColumn("start", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    placed = placed.join(shards, F.col("source").eqNullSafe(F.col("h_source")) & (F.col("shard") == F.col("h_shard")))
+    line = Window.partitionBy("source", "shard").orderBy("digest", "doc_id", "size", "content")
+    ordered = ordered.withColumn("start", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    ordered = ordered.join(shards, F.col("source").eqNullSafe(F.col("h_source")) & (F.col("shard") == F.col("h_shard")))
     taken = _upto(F.col("start") + F.col("size"), block_words) - _upto(F.col("start"), block_words)
-    return placed.select(
-        "doc_id", "source", "size", "source_size", "target",
-        F.when(F.col("size") > 0, taken).otherwise(0).cast("long").alias("taken"), "start", "blocks", "copies", "turn",
-    )
+    about = ["doc_id", "source", "size", "source_size", "target"]
+    ordered = ordered.select(*about, taken.cast("long").alias("taken"), "start", "blocks", "copies", "turn", "content")
+    nothing = [F.lit(0).cast("long").alias(c) for c in ("taken", "start", "blocks", "copies", "turn")]
+    return ordered.unionByName(placed.where("size = 0").select(*about, *nothing, "content"))
+
+
+def _content() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def block_copies(block: Column) -> Column:
@@ -156,16 +166,16 @@ def _upto(word: Column, block_words: int) -> Column:
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix as documents: each text holds the words taken from it, block by block, repeated as often as they are taken.
 
-    Documents of which nothing is taken go. Rows with the same doc_id, source and size are told apart by their order. size,
+    Documents of which nothing is taken go. Rows with the same doc_id, source and text are told apart by their order. size,
     source_size, target and taken are added, in place of columns of these names; n_chars, where there is one, is counted anew.
     """
-    key = F.sha2(F.to_json(F.struct("doc_id", "source", "size")), 256)
+    key = F.sha2(F.to_json(F.struct("doc_id", "source", "size", F.hex("content").alias("content"))), 256)
     alike = Window.partitionBy("k")
     plan = mixed(docs, block_words).where("taken > 0").withColumn("k", key)
     plan = plan.withColumn("m_nth", F.row_number().over(alike.orderBy("start"))).select(
         F.col("k").alias("m_k"), "m_nth", "source_size", "target", "taken", "start", "blocks", "copies", "turn"
     )
-    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", F.size(words("text")).cast("long").alias("size"))
+    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", F.size(words("text")).cast("long").alias("size"), _content().alias("content"))
     own = own.select("row", "size", key.alias("k")).withColumn("nth", F.row_number().over(alike.orderBy("row.text")))
     # Both sides are dealt by k alone, so the texts are moved once, for their order and for the join.
     both = own.join(plan, (F.col("k") == F.col("m_k")) & (F.col("nth") - F.col("m_nth") == 0))

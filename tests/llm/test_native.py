@@ -129,6 +129,21 @@ def test_mix(spark):
     assert mixing.mixed(frame(spark, [(1, None, None, None)])).first().taken == 0
 
 
+def test_mix_of_empty_texts_and_repeated_ids(spark):
+    rows = [(i, "" if i % 2 else None, "en", "void") for i in range(3000)]
+    rows += [(7, f"{c} " * 40, "en", "a") for c in "pqrst"] + [(7, "p " * 40, "en", "a"), (None, None, "en", None)] + [(9, "w " * 200, "en", "b")]
+    docs = frame(spark, rows)
+    got = mixing.mixed(docs)
+    assert got.count() == len(rows) and got.where("size = 0 and (taken > 0 or start > 0 or blocks > 0)").count() == 0
+    assert got.where("size = 0").select("target", "source_size").distinct().count() == 1
+    plan = got.where("size > 0").select("content", "taken").collect()
+    texts = [r.text.split(" ") for r in mixing.mixed_documents(docs).collect()]
+    want = sorted((r.taken for r in plan if r.taken))
+    assert sorted(map(len, texts)) == want and all(len(set(t)) == 1 for t in texts)
+    by_word = {hashlib.md5((f"{c} " * n).encode()).digest(): c for c, n in [*zip("pqrst", [40] * 5), ("w", 200)]}
+    assert sorted((by_word[bytes(r.content)], r.taken) for r in plan if r.taken) == sorted((t[0], len(t)) for t in texts)
+
+
 def split_url(url):
     if url is None or "://" not in url:
         return "", ""
