@@ -278,7 +278,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each class the document with the smallest doc_id, once."""
-    kept = near_duplicates(docs).where("doc_id is not null and doc_id = class_id").select("doc_id").distinct()
-    rows = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """The rows of ``docs`` without near-duplicates: of each class the row with the smallest doc_id (null last).
+
+    Rows are numbered and told apart by that, so different texts with one doc_id stay and copies without a doc_id go.
+    """
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    classes = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    placed = rows.select("_row", "doc_id").join(classes.select(F.col("doc_id").alias("_row"), "class_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")
+    return rows.join(placed.groupBy("class_id").agg(first).select("_row"), "_row", "left_semi").select(*docs.columns)

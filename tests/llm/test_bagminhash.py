@@ -95,6 +95,16 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id for r in left.collect()) == [1, 2, 3, 5, 6] and left.columns == ["doc_id", "text", "label"]
 
 
+def test_one_of_each_with_repeated_and_missing_ids(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    rows = [(5, text("a"), "x"), (5, text("b"), "x"), (5, text("b"), "y"), (2, text("b") + " end", "x"), (None, text("c"), "x"), (None, text("c"), "y")]
+    rows += [(None, text("d"), "x"), (9, text("d"), "x"), (None, None, "x"), (7, "", "x")]
+    left = bagminhash.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(
+        [(5, text("a")), (2, text("b") + " end"), (None, text("c")), (9, text("d")), (None, None), (7, "")], key=str
+    )
+
+
 def test_large_buckets_are_split(spark, monkeypatch):
     rnd = random.Random(3)
     common = [f"k{i}" for i in range(120)]
