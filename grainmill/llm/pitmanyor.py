@@ -14,10 +14,12 @@ How it runs. Texts are dealt into chunks, words into buckets. Chunks and buckets
 1. chunk -> word bucket: its distinct words with training counts; back come a number for each known word and its count;
 2. chunk -> context bucket: its distinct pairs of known words with training counts. A context of more than ``hot`` customers is split by its
    dishes into parts; its number of customers is known from step 1. Each part sends one small row, the tables it expects for GRID numbers
-   of tables in the whole context; where their sum equals that number the sampler is at rest, and every part gets this number back;
-3. context bucket: seats the pairs; each pair's discounted count and each part's tables go back to the chunks, the tables of each word go
-   on to its word bucket;
-4. word bucket: seats the parent restaurant and answers the chunks; totals are one row that goes to every chunk;
+   of tables in the whole context; where their sum equals that number the sampler is at rest, and every part gets this number back.
+   A chunk names only parts that hold one of its pairs, so what it sends does not grow with the parts of the corpus;
+3. context bucket: seats the pairs; each pair's discounted count goes back to the chunks, the tables of each word go on to its word bucket,
+   and so do those of each part of a context, to the bucket of the context's word, where they are added up once;
+4. word bucket: seats the parent restaurant and answers the chunks, with the tables that each word has as a context; totals are one row
+   that goes to every chunk;
 5. chunk: scores its texts.
 
 In step 3 the parent is taken to be the words' relative frequency (sent in eighths of a doubling); the final P(w) has the sampled tables. The
@@ -52,7 +54,7 @@ ONE_BY_ONE = 64
 #: Arrays of one, as numpy warns when a single number wraps.
 _GOLD, _WORD, _PART = (np.array([x], np.uint64) for x in (0x9E3779B97F4A7C15, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 MESSAGE = "kind int, target int, bucket int, keys binary, more binary, s1 double, s2 double, s3 double"
-PAIRS_BACK, TABLES_ON, WORDS_BACK, TOTALS, SETTLED = 1, 2, 3, 4, 5
+PAIRS_BACK, TABLES_ON, WORDS_BACK, TOTALS, SETTLED, CONTEXTS_ON = 1, 2, 3, 4, 5, 6
 
 
 def held_out(doc_id: str) -> Column:
@@ -134,31 +136,27 @@ def _number_words(table: pa.Table) -> pa.Table:
 def _pairs(chunk: Chunk, known: np.ndarray, count: np.ndarray, n: int, hot: int):
     """Contexts and pairs of a chunk in the order in which they are sent.
 
-    Returns the parts (context word, part, bucket), the distinct pairs (part row, dish word) and the pair of each token (-1 without).
+    Returns the parts of contexts that hold a pair of the chunk (context word, part, bucket), the distinct pairs (part row, dish word)
+    and the pair of each token (-1 without).
     """
     size = np.int64(len(chunk.distinct))
     both = known[chunk.before] & known[chunk.token]
     key = chunk.before.astype(np.int64) * size + chunk.token
     distinct, place = np.unique(key[both], return_inverse=True)
     u, w = distinct // size, distinct % size
-    contexts = np.unique(chunk.before[known[chunk.before]])
     split = 1 + count // hot
-    part_u = np.repeat(contexts, split[contexts])
-    begins = np.cumsum(split[contexts]) - split[contexts]
-    part = np.arange(len(part_u)) - np.repeat(begins, split[contexts])
-    values = np.where(part == 0, chunk.distinct[part_u], rolling.mix(chunk.distinct[part_u] + part.astype(np.uint64) * _PART))
+    part = (rolling.mix(chunk.distinct[w]) % split[u].astype(np.uint64)).astype(np.int64)
+    values = np.where(part == 0, chunk.distinct[u], rolling.mix(chunk.distinct[u] + part.astype(np.uint64) * _PART))
     bucket = rolling.bucket_of(values, n)
-    order = np.argsort(bucket, kind="stable")
-    row = np.empty(len(order), np.int64)
-    row[order] = np.arange(len(order))
-    dish = (rolling.mix(chunk.distinct[w]) % split[u].astype(np.uint64)).astype(np.int64)
-    pair_row = row[begins[np.searchsorted(contexts, u)] + dish] if len(u) else np.zeros(0, np.int64)
-    moved = np.argsort(pair_row, kind="stable")
+    moved = np.lexsort((part, u, bucket))
     back = np.empty(len(moved), np.int64)
     back[moved] = np.arange(len(moved))
     of_token = np.full(len(chunk.token), -1)
     of_token[both] = back[place]
-    return (part_u[order], part[order], bucket[order]), (pair_row[moved], w[moved]), of_token
+    u, w, part, bucket = u[moved], w[moved], part[moved], bucket[moved]
+    new = np.ones(len(u), bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (u[1:] != u[:-1]) | (part[1:] != part[:-1])
+    return (u[new], part[new], bucket[new]), (np.cumsum(new) - 1, w), of_token
 
 
 def _send_pairs(n: int, hot: int):
@@ -364,34 +362,34 @@ def _settle(table: pa.Table) -> pa.Table:
 
 
 def _seat(kinds: tuple[int, ...], train_tokens: int):
-    """Answers of a context bucket: pairs back to chunks, or tables on to word buckets."""
+    """Answers of a context bucket: pairs back to chunks, or tables on to the word buckets of their dishes and of their contexts."""
 
     def seat(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _messages([])
         data = Bucket(table, train_tokens)
-        some, of, pair, size, context = data.some, data.of, data.pair, data.size, data.context
+        some, of, pair, size = data.some, data.of, data.pair, data.size
         known = {(b << 32) | int(_unplaned(k, 1)[0]): t for b, k, t in zip(*(answers[x].to_pylist() for x in ("bucket", "keys", "s1")), strict=True)}
         whole = np.array([known.get(w, np.nan) for w in data.word.tolist()]) if known else np.full(size, np.nan)
         customers = data.customers
         mean, last = seat_contexts(of[some], whole, customers[some], data.parent[some], data.seed[some])
         rows = []
         if PAIRS_BACK in kinds:
-            tables = np.bincount(of[some], mean, size)
             kept = np.zeros(len(customers))
             kept[some] = (customers[some] - DISCOUNT * mean) / (STRENGTH + data.total[of[some]])
-            p = q = 0
-            for c, head, body in zip(data.chunk_of, data.heads, data.bodies, strict=True):
-                m, k = len(head[0]), len(body[0])
-                rows.append((PAIRS_BACK, c, table["target"][0].as_py(), _planes(tables[context[p : p + m]], "<f4"), _planes(kept[pair[q : q + k]], "<f4")))
-                p, q = p + m, q + k
+            q = 0
+            for c, body in zip(data.chunk_of, data.bodies, strict=True):
+                k = len(body[0])
+                rows.append((PAIRS_BACK, c, table["target"][0].as_py(), b"", _planes(kept[pair[q : q + k]], "<f4")))
+                q += k
         if TABLES_ON in kinds and some.any():
-            words, place = np.unique(data.dish[some], return_inverse=True)
-            sums = np.bincount(place, last).astype(np.int64)
-            bucket = words >> 32
-            edges = _runs_of(bucket)
-            for a, z in zip(edges, np.r_[edges[1:], len(words)], strict=True):
-                rows.append((TABLES_ON, -1 - int(bucket[a]), 0, _planes(words[a:z] & 0xFFFFFFFF), _planes(sums[a:z])))
+            for kind, words, tables, layout in ((TABLES_ON, data.dish[some], last, "<u4"), (CONTEXTS_ON, data.word[of[some]], mean, "<f4")):
+                words, place = np.unique(words, return_inverse=True)
+                sums = np.bincount(place, tables)
+                bucket = words >> 32
+                edges = _runs_of(bucket)
+                for a, z in zip(edges, np.r_[edges[1:], len(words)], strict=True):
+                    rows.append((kind, -1 - int(bucket[a]), 0, _planes(words[a:z] & 0xFFFFFFFF), _planes(sums[a:z], layout)))
         return _messages(rows)
 
     return seat
@@ -402,14 +400,19 @@ def _runs_of(ordered: np.ndarray) -> np.ndarray:
 
 
 def _seat_words(table: pa.Table, tables: pa.Table) -> pa.Table:
-    """The parent restaurant's dishes of a word bucket: each chunk gets count and discounted customers of its words."""
+    """The parent restaurant's dishes of a word bucket: each chunk gets the count of its words, their
+    discounted customers, and the tables of the contexts that they are."""
     if not table.num_rows:
         return _messages([])
     numbers, count, values, size = _numbered(table)
-    customers = np.zeros(size + 1, np.int64)
-    for keys, more in zip(tables["keys"].to_pylist(), tables["more"].to_pylist(), strict=True):
+    customers, below = np.zeros(size + 1, np.int64), np.zeros(size + 1)
+    for kind, keys, more in zip(*(tables[x].to_pylist() for x in ("kind", "keys", "more")), strict=True):
         k = len(keys) // 4
-        np.add.at(customers, _unplaned(keys, k).astype(np.int64) - 1, _unplaned(more, k).astype(np.int64))
+        word = _unplaned(keys, k).astype(np.int64) - 1
+        if kind == TABLES_ON:
+            np.add.at(customers, word, _unplaned(more, k).astype(np.int64))
+        else:
+            np.add.at(below, word, _unplaned(more, k, "<f4").astype(float))
     customers = customers[:size]
     mean, t = np.zeros(size), np.minimum(customers, 1).astype(float)
     for sweep in range(BURN + SAMPLES):
@@ -422,7 +425,7 @@ def _seat_words(table: pa.Table, tables: pa.Table) -> pa.Table:
     padded = np.r_[count, 0]
     bucket = -1 - table["target"][0].as_py()
     rows = [
-        (WORDS_BACK, c, bucket, _planes(padded[x]), _planes(left[x], "<f4")) for c, x in zip(table["bucket"].to_pylist(), numbers, strict=True)
+        (WORDS_BACK, c, bucket, _planes(padded[x]), _planes(left[x], "<f4") + _planes(below[x], "<f4")) for c, x in zip(table["bucket"].to_pylist(), numbers, strict=True)
     ]
     return _messages([*rows, (TOTALS, -1, bucket, b"", b"", float(customers.sum()), float(mean.sum()), float(size))])
 
@@ -443,21 +446,14 @@ def _score(n: int, hot: int, train_tokens: int):
         words = by_kind[WORDS_BACK]
         packed = list(zip(words["keys"].to_pylist(), words["more"].to_pylist(), sizes[sizes > 0], strict=True))
         count = np.concatenate([_unplaned(k, s) for k, _, s in packed]).astype(np.int64)
-        left = np.concatenate([_unplaned(m, s, "<f4") for _, m, s in packed]).astype(float)
+        left, below = (np.concatenate([_unplaned(m[4 * s * i : 4 * s * (i + 1)], s, "<f4") for _, m, s in packed]).astype(float) for i in range(2))
         spread = (PARENT_STRENGTH + PARENT_DISCOUNT * tables / SAMPLES) / (types + 1)
         single = (left + spread) / (PARENT_STRENGTH + customers)
         chance = single[chunk.token]
-        (u, _, _), (row, _), of_token = _pairs(chunk, count > 0, count, n, hot)
-        if len(u):
-            pairs = by_kind[PAIRS_BACK]
-            some = list(zip(pairs["keys"].to_pylist(), pairs["more"].to_pylist(), strict=True))
-            parts = np.concatenate([_unplaned(k, len(k) // 4, "<f4") for k, _ in some]).astype(float)
-            kept = np.concatenate([_unplaned(m, len(m) // 4, "<f4") for _, m in some]).astype(float)
-            back = np.ones(len(chunk.distinct))
-            summed = np.bincount(u, parts, len(chunk.distinct))
-            known = count > 0
-            back[known] = (STRENGTH + DISCOUNT * summed[known]) / (STRENGTH + count[known])
-            chance = chance * back[chunk.before] + np.where(of_token >= 0, np.r_[kept, 0.0][of_token], 0.0)
+        _, _, of_token = _pairs(chunk, count > 0, count, n, hot)
+        kept = [np.zeros(0), *(_unplaned(m, len(m) // 4, "<f4") for m in by_kind[PAIRS_BACK]["more"].to_pylist())]
+        back = np.where(count > 0, (STRENGTH + DISCOUNT * below) / (STRENGTH + count), 1.0)
+        chance = chance * back[chunk.before] + np.where(of_token >= 0, np.r_[np.concatenate(kept), 0.0][of_token], 0.0)
         base = np.log10((count[chunk.token] + 1) / (train_tokens + types + 1))
         n_docs = len(chunk.counts)
         return pa.table({

@@ -6,9 +6,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from grainmill.llm import pitmanyor
+from grainmill.llm import pitmanyor, rolling
 
 SCHEMA = "doc_id long, text string, score string"
 
@@ -183,3 +184,41 @@ def test_large_contexts_are_sampled_at_rest():
     finally:
         pitmanyor.BURN = kept
     assert abs(mean.sum() / still.sum() - 1) < 0.02, (mean.sum(), still.sum())
+
+
+def sent(texts, corpus, n, hot):
+    """Messages of one chunk to the context buckets of a corpus that holds its texts ``corpus`` times."""
+    table = pa.table({"chunk": [0] * len(texts), "doc_id": [*range(len(texts))], "text": texts, "held": [False] * len(texts)})
+    chunk = pitmanyor.Chunk(table)
+    count, bucket = corpus * np.bincount(chunk.token), rolling.bucket_of(chunk.distinct, n)
+    answers = []
+    for b in range(n):
+        mine = np.flatnonzero(bucket == b)
+        if len(mine):
+            answers.append((0, 0, b, pitmanyor._planes(np.arange(1, len(mine) + 1)), pitmanyor._planes(count[mine])))
+    return pitmanyor._send_pairs(n, hot)(table, pitmanyor._messages(answers)).to_pylist()
+
+
+def test_what_a_chunk_sends_does_not_grow_with_the_corpus():
+    """Four and sixteen times the corpus have as many times the buckets and parts; a chunk has the same pairs."""
+    rnd = random.Random(2)
+    words = [f"w{i}" for i in range(500)]
+    texts = [" ".join(rnd.choices(words, [1 / (i + 1) for i in range(500)], k=200)) for _ in range(30)]
+    size = {}
+    for times in (1, 4, 16):
+        rows = sent(texts, 100 * times, 8 * times, 50)
+        parts = [np.concatenate([pitmanyor._unplaned(r["keys"][len(r["keys"]) // 5 * k :], len(r["keys"]) // 20) for r in rows]) for k in (3, 4)]
+        pairs = sum(len(r["more"]) // 13 for r in rows)
+        assert parts[0].min() >= 1 and parts[0].sum() == pairs
+        size[times] = sum(len(r["keys"]) + len(r["more"]) for r in rows)
+        assert size[times] <= pairs * (20 + 13)
+    # More parts hold single pairs; once all do, nothing grows.
+    assert size[16] <= 1.05 * size[4] <= 1.2 * size[1]
+
+
+def test_many_chunks_and_buckets_score_like_the_plain_sampler(spark, rows):
+    """A few texts a chunk: most contexts that a chunk backs off from hold none of its pairs in most of their parts."""
+    score, *_ = plain(rows)
+    got = scores(spark, rows, chunk_bytes=300, bucket_bytes=150, hot=5)
+    gaps = [(got[i].score - score(text)) / got[i].n_tokens for i, text, _ in rows]
+    assert abs(np.mean(gaps)) < 0.01 and np.mean(np.abs(gaps)) < 0.04, (np.mean(gaps), np.mean(np.abs(gaps)))
