@@ -1,7 +1,9 @@
 """Held-out accuracy of the grades, recall of the latent search, and their odd rows."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,3 +152,41 @@ def test_exact_copies_of_short_items(spark, prose):
         for i, item in enumerate(items):
             holds = f" {' '.join(item)} " in f" {' '.join(words)} "
             assert got[k].get(i) == 1 if holds else len(item) >= 8 or i not in got[k], (k, item)
+
+
+def test_fit_climbs_the_plain_likelihood():
+    """Weights and thresholds from gradients of the cumulative-link likelihood taken by differences, text by text."""
+    rnd = random.Random(4)
+    texts = [[rnd.randrange(3) + 3 * g if rnd.random() < 0.7 else 9 + rnd.randrange(4) for _ in range(4)] for g in (0, 1, 2) * 12]
+    texts = [sorted(set(t)) for t in texts]
+    grades = [0, 1, 2] * 12
+
+    def likelihood(weights, cuts):
+        total = 0.0
+        for t, g in zip(texts, grades, strict=True):
+            below = [0.0, *(1 / (1 + math.exp(sum(weights[f] for f in t) - c)) for c in cuts), 1.0]
+            total += math.log(below[g + 1] - below[g])
+        return total / len(texts)
+
+    def slope(f, at, k, h=1e-5):
+        up, down = list(at), list(at)
+        up[k] += h
+        down[k] -= h
+        return (f(up) - f(down)) / (2 * h)
+
+    shares = [(1 + 12 * (k + 1) + k) / (36 + 3) for k in range(2)]
+    weights, seen, cuts, cut_seen = [0.0] * 13, [1e-8] * 13, [math.log(x / (1 - x)) for x in shares], [1e-8] * 2
+    for _ in range(ordinal.STEPS):
+        g = [slope(lambda w: likelihood(w, cuts), weights, k) for k in range(13)]
+        h = [slope(lambda c: likelihood(weights, c), cuts, k) for k in range(2)]
+        for k in range(13):
+            seen[k] += g[k] ** 2
+            step = ordinal.RATE / math.sqrt(seen[k])
+            moved = weights[k] + step * g[k]
+            weights[k] = math.copysign(max(abs(moved) - step * ordinal.L1, 0), moved)
+        cut_seen = [a + b * b for a, b in zip(cut_seen, h, strict=True)]
+        cuts = [c + 0.1 * b / math.sqrt(a) for c, a, b in zip(cuts, cut_seen, h, strict=True)]
+    model = ordinal.fit(np.concatenate(texts), np.r_[0, np.cumsum([len(t) for t in texts])], np.array(grades))
+    assert np.allclose(model.weights[:13], weights, atol=2e-3) and not model.weights[13:].any()
+    assert np.allclose(model.thresholds, cuts, atol=2e-3) and model.thresholds[0] < model.thresholds[1]
+    assert likelihood(model.weights[:13], model.thresholds) > likelihood([0.0] * 13, model.thresholds) + 0.1
