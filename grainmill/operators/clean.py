@@ -50,12 +50,15 @@ class Rules:
 #: Up to so many rules each is a test of its own.
 FEW_RULES = 16
 LITERAL = 3
+#: Letters that a backslash makes a class or a sign by themselves; after others, what follows belongs to them.
+ALONE = "dDsSwWbBAzZGhHvVRXtnrfae"
 
 
 def required_literal(pattern: str) -> str | None:
     """A text that every match of the pattern contains, if one can be read off it: its longest run of plain characters.
 
-    Groups, classes and repeated parts are skipped; a pattern with alternatives, flags or quoted parts outside groups has none.
+    Groups, classes and repeated parts are skipped; a pattern with alternatives, flags, quoted parts or signs by number or name outside
+    groups has none.
     """
     runs, run, i = [], "", 0
     while i < len(pattern):
@@ -69,6 +72,8 @@ def required_literal(pattern: str) -> str | None:
             c = ""
         elif c == "\\":
             i += 1
+            if i < len(pattern) and pattern[i].isalnum() and pattern[i] not in ALONE:
+                return None
             c = pattern[i] if i < len(pattern) and not pattern[i].isalnum() else ""
         elif c in "^$.*+?{}":
             c = ""
@@ -116,37 +121,66 @@ def _closing(pattern: str, i: int) -> int:
     return j if j < len(pattern) else -1
 
 
-def any_literal(literals: list[str]) -> str:
-    """A pattern that finds any of the literals, with common beginnings written once: a place in a text meets the first signs only."""
+def leading_text(pattern: str) -> tuple[str, str]:
+    """The plain characters that every match of the pattern begins with, and what follows them."""
+    text, i = "", 0
+    while i < len(pattern):
+        end = i + 1
+        if pattern[i] == "\\":
+            end += 1
+            if end > len(pattern) or pattern[i + 1].isalnum():
+                break
+        elif PATTERN_SYNTAX.match(pattern[i]):
+            break
+        if end < len(pattern) and pattern[end] in "*+?{":
+            break
+        text += pattern[end - 1]
+        i = end
+    return text, pattern[i:]
+
+
+def any_pattern(parts: list[tuple[str, str]]) -> str:
+    """A pattern that finds any of the given ones (leading text, rest), with common beginnings written once: a place in a text meets the
+    first signs only, and of the rests those whose leading text stands there."""
     tree: dict = {}
-    for text in sorted(set(literals)):
+    for text, rest in sorted(set(parts)):
         node = tree
         for c in text:
-            if "" in node:
+            if "" in node.get("", ()):
                 break
             node = node.setdefault(c, {})
         else:
-            # What begins with this literal is found by it.
-            node.clear()
-            node[""] = {}
+            if not rest:
+                # What begins with this text is found by it.
+                node.clear()
+            if "" not in node.get("", ()):
+                node.setdefault("", []).append(rest)
 
     def written(node: dict) -> str:
         tail = ""
         while len(node) == 1 and "" not in node:
             ((c, node),) = node.items()
             tail += re.sub(r"([^\w])", r"\\\1", c, flags=re.ASCII) if c.isascii() else c
-        if "" in node:
+        rests = node.get("", [])
+        if "" in rests:
             return tail
-        return f"{tail}(?:{'|'.join(written({c: sub}) for c, sub in sorted(node.items()))})"
+        below = [written({c: sub}) for c, sub in sorted(node.items()) if c]
+        return f"{tail}(?:{'|'.join([*below, *rests])})"
 
     return written(tree)
 
 
+def any_literal(literals: list[str]) -> str:
+    """A pattern that finds any of the literals."""
+    return any_pattern([(text, "") for text in literals])
+
+
 def blacklisted(line: Column | str, filters: list[str]) -> Column:
     """True when any rule occurs in the line; rules without pattern syntax are plain substrings.
 
-    Of many rules the literals that their matches must contain are looked for first, all at once; the patterns themselves are tried on
-    lines that hold one. Rules without such a literal remain tests of their own.
+    Many rules are one pattern that shares their common beginnings, so a line costs as much as the rules that begin where it is read. Where
+    the literal that a match must contain is not in the beginning, all such literals are looked for first, and the patterns themselves are
+    tried on lines that hold one. Rules without such a literal remain tests of their own.
     """
     line = col(line)
     plain = [f for f in filters if not PATTERN_SYNTAX.search(f)]
@@ -161,9 +195,12 @@ def blacklisted(line: Column | str, filters: list[str]) -> Column:
     tests = [line.rlike(p) for p in patterns if p not in joined]
     if plain:
         tests.append(line.rlike(any_literal(plain)) if all(plain) else F.lit(True))
-    if joined:
-        whole = "|".join(f"(?:{p})" for p in joined)
-        tests.append(line.rlike(any_literal(list(joined.values()))) & line.rlike(whole))
+    begins = {p: leading_text(p) for p in joined}
+    early = {p for p, literal in joined.items() if literal in begins[p][0]}
+    if early:
+        tests.append(line.rlike(any_pattern([begins[p] for p in early])))
+    if late := [p for p in joined if p not in early]:
+        tests.append(line.rlike(any_literal([joined[p] for p in late])) & line.rlike(any_pattern([begins[p] for p in late])))
     return reduce(or_, tests, F.lit(False))
 
 

@@ -219,3 +219,17 @@ def test_many_rules_equal_the_chain(spark):
     urls = [f"http://a/{rng.choice(rewrites)[0]}/{rng.choice(rewrites)[0]}" for _ in range(40)] + ["http://none"]
     both = spark.createDataFrame([(u,) for u in urls], "u string").select(clean.canonical_url("u", rewrites).alias("a"), clean.rewritten("u", rewrites).alias("b")).collect()
     assert all(r.a == r.b for r in both)
+
+
+def test_many_rules_share_their_beginnings(spark):
+    rules = [rf"wid={3 * n}[;]" for n in range(2000)]
+    whole = clean.any_pattern([clean.leading_text(r) for r in rules])
+    assert whole.count("wid") == 1 and str(clean.blacklisted("t", rules)._jc).count("wid") == 1
+    others = [r"[0-9]+/late\.x", r"[a-c]+/late\.y$", r"\p{Alpha}{2}#", r"\x41bc9", r"wid=7+!", r"wid=7+\?", "wid=71", r"wid=71[;]0", r"wid=71\b"]
+    lines = ["a; wid=3; b", "wid=4;", "wid=5997;", "wid=5998; wid=0;", "wid=300", "12/late.x", "x/late.x", "q ab/late.y", "ab/late.y q", "qr#", "1#", "Abc9", "41bc9", "wid=777!", "wid=77", "wid=7?", "wid=712", ""]
+    frame = spark.createDataFrame([(t,) for t in lines], "t string")
+    got = {r.t for r in frame.where(clean.blacklisted("t", rules + others)).collect()}
+    known = [r.replace(r"\p{Alpha}", "[A-Za-z]") for r in rules + others]
+    assert got == {t for t in lines if any(re.search(r, t) for r in known)} and len(got) == 10
+    cases = {r"wid=3[;]": ("wid=3", "[;]"), "abc?d": ("ab", "c?d"), r"a\.b\d": ("a.b", r"\d"), r"ab\.+": ("ab", r"\.+"), "^a": ("", "^a"), "ab": ("ab", ""), r"ab\x41": ("ab", r"\x41")}
+    assert {p: clean.leading_text(p) for p in cases} == cases
