@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scalars as sc
 from ..operators import behaviour, clean, geo, sketches
-from ..session import remove
+from ..session import kept, remove
 from ..sources import readers, writers
 from . import fixture as fx, oracle as o, state
 from .catalog import CATALOG, Query, _folder, register
@@ -18,10 +20,12 @@ from .grains import FAMILIES, visitor_cells
 def _two_batches(spark: SparkSession, d: str, again: bool = False) -> str:
     """All streams as two batches that share visitors, days and groups; ``again`` runs the second one twice, as after a failure."""
     root = _folder(spark, "counters")
-    halves = {k: s(spark, d) for k, s in fx.STREAMS.items() if k in ("hits", "dwell", "ad_hits", "ad_dwell")}
-    for n, batch in ((0, "20240131"), *[(1, "2024020107")] * (1 + again)):
-        part = {k: s.where(F.pmod(F.xxhash64(*s.columns), F.lit(2)) == n) for k, s in halves.items()}
-        state.add_batch(part, root, batch)
+    streams = {k: fx.STREAMS[k](spark, d) for k in ("hits", "dwell", "ad_hits", "ad_dwell")}
+    with ExitStack() as made:
+        # Each stream is made once; a batch reads its rows.
+        halves = {k: made.enter_context(kept(s.withColumn("half", F.pmod(F.xxhash64(*s.columns), F.lit(2))), k)) for k, s in streams.items()}
+        for n, batch in ((0, "20240131"), *[(1, "2024020107")] * (1 + again)):
+            state.add_batch({k: s.where(F.col("half") == n).drop("half") for k, s in halves.items()}, root, batch)
     return root
 
 

@@ -31,6 +31,7 @@ SUMS = tuple(f"{kind}_{s}" for s in dwell_ops.slices(True) for kind in ("sum", "
 MEMBERS = struct(" ".join(["family", *KEYS, "kind", "id", *[f"{c}:long" for c in COUNTERS], "period"]))
 TIMES = struct(" ".join(["family", *KEYS, *[f"{c}:long" for c in SUMS], "period"]))
 FOLDED = "batch=folded"
+FOLD_ROWS = 250_000
 
 
 def _by_family(rows: DataFrame, names: tuple[str, ...], others: list[str]) -> DataFrame:
@@ -44,8 +45,8 @@ def _by_family(rows: DataFrame, names: tuple[str, ...], others: list[str]) -> Da
         value = F.struct(F.lit(name).alias("family"), *keys)
         return value if inside is None else F.when(inside, value)
 
-    entries = F.array_compact(F.array(*[entry(n) for n in names]))
-    return rows.select("period", *others, F.explode(entries).alias("e")).select("period", "e.*", *[o for o in others if o not in KEYS])
+    entries = F.array(*[entry(n) for n in names])
+    return rows.select("period", *others, F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("period", "e.*", *[o for o in others if o not in KEYS])
 
 
 def member_rows(hits: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -146,5 +147,8 @@ def fold(spark: SparkSession, root: str) -> None:
         return
     with versions.replacing(spark, root, [FOLDED], [p for p in parts if p != FOLDED]) as folder:
         for what, keys, measures in (("members", ("family", *KEYS, "kind", "id"), COUNTERS), ("times", ("family", *KEYS), SUMS)):
-            rows = _added(_stored(spark, root, what, parts.__contains__), keys, measures, "day")
+            rows = _stored(spark, root, what, parts.__contains__)
+            # A batch holds a key once, so adding before the exchange joins nothing; pieces of FOLD_ROWS are added in memory.
+            rows = rows.repartition(max(1, -(-rows.count() // FOLD_ROWS)), "period", *keys)
+            rows = _added(rows, keys, measures, "day")
             _write(rows, f"{folder}/{FOLDED}/what={what}")

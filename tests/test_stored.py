@@ -205,3 +205,31 @@ def test_nested_and_overlapping_ranges_against_all_ranges(spark, seed):
         assert {r.i: r.country for r in located.collect()} == want
     held = sorted((r.low, r.high) for r in pieces.collect())
     assert all(a[1] < b[0] for a, b in zip(held, held[1:], strict=False))
+
+
+def test_batches_do_not_make_the_streams_again(spark, monkeypatch):
+    from grainmill.plans import catalog_stored, fixture as fx
+
+    seen = []
+    monkeypatch.setattr(catalog_stored.state, "add_batch", lambda streams, root, batch: seen.append({k: (s.inputFiles(), s.columns, s.count()) for k, s in streams.items()}))
+    d = "/root/testdata/sf0.001"
+    catalog_stored._two_batches(spark, d, again=True)
+    assert len(seen) == 3 and seen[1] == seen[2]
+    for k in ("hits", "dwell", "ad_hits", "ad_dwell"):
+        whole = fx.STREAMS[k](spark, d)
+        assert seen[0][k][2] + seen[1][k][2] == whole.count() and seen[0][k][1] == whole.columns
+        assert not any("events.parquet" in f for batch in seen for f in batch[k][0])
+
+
+def test_many_batches_fold_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "FOLD_ROWS", 50)
+    from grainmill.plans import fixture as fx
+
+    streams = {k: fx.STREAMS[k](spark, "/root/testdata/sf0.001") for k in ("hits", "dwell", "ad_hits", "ad_dwell")}
+    root = str(tmp_path / "counters")
+    for batch in ("20240131", "20240201"):
+        state.add_batch(streams, root, batch)
+    members = lambda: sorted(map(str, state.members_of(spark, root, "site").collect()))
+    before = members()
+    state.fold(spark, root)
+    assert members() == before and len(before) > 50
