@@ -2,9 +2,10 @@
 
 Documents are cut into overlapping passages of plain words (lower case, no punctuation). Terms are the words of the benchmark.
 
-1. One pass counts, over all documents, in how many passages each term occurs, and draws a bounded sample of passages by their content.
-2. A randomised SVD of the sample's and the benchmark's TF-IDF rows (``fit_passages`` at most and the items, which weigh as much as the
-   sample) gives RANK latent directions: products with the matrix run on its partitions, and only term x RANK sums come back.
+1. One pass counts, over all documents, in how many passages each term occurs, and keeps the term numbers of all passages.
+2. A randomised SVD of the TF-IDF rows of all passages and of the items (which weigh as much as the corpus) gives RANK latent directions:
+   the product of the rows' Gram matrix with COLUMNS sparse random directions is summed on the partitions, ``fit_passages`` at a time, and
+   only those sums come back. They are whole numbers, so they do not depend on how rows fall into tasks.
 3. A second pass projects every passage and takes its cosine with every item. Lengths are those before the projection, so what
    the directions leave out counts as different; a pair is a candidate from COSINE times the share of the item's length that they keep.
    Blocks of words are summed once; items of up to SHORT words meet passages of 2 blocks, longer ones passages of 4 blocks. An item
@@ -31,13 +32,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import kept
 from . import rolling
 
 BLOCK = 12
 SHORT = 30
 RANK = 256
-OVERSAMPLE = 16
-ROUNDS = 3
+COLUMNS = 2 * RANK + 32
+UNIT = 1 << 16
+BLOCK_TERMS = 32
 COSINE = 0.5
 FULL = 15
 SURE = 0.75
@@ -46,7 +49,8 @@ ANSWER = 8
 ANSWER_SHARE = 0.75
 FIT_PASSAGES = 20_000
 BLOCK_ITEMS = 5_000
-FIT_PARTS = 8
+#: Entries of a table of the scores of terms that a task holds.
+TABLE = 16 << 20
 
 
 @dataclass
@@ -97,14 +101,18 @@ def _cut(batch: pa.RecordBatch, items: Items) -> Iterator[tuple[int, int, rollin
         yield begin, end, words, term_numbers(words.values, items.terms), words.offsets[of] + nth * BLOCK, of
 
 
-def _counter(items: Items, share: float):
-    """Passages (of 2 blocks of one text) per term, and a sample of passages as packed term numbers.
+def _layout(terms: int) -> str:
+    return "<u2" if terms < 1 << 16 else "<u4"
 
-    The sample is chosen by the words of a passage alone, so it does not depend on how rows fall into tasks; equal passages count once in it.
+
+def _counter(items: Items, share: float = 1.0):
+    """Passages (of 2 blocks of one text) per term, and the passages of every text: their sizes and term numbers, packed.
+
+    ``share`` is of no effect: all passages are kept, whatever the layout of rows.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, total, picked = np.zeros(len(items.terms), np.int64), 0, set()
+        seen, total, kind = np.zeros(len(items.terms), np.int64), 0, _layout(len(items.terms))
         for batch in batches:
             for _, _, words, numbers, starts, text in _cut(batch, items):
                 if not len(starts):
@@ -113,70 +121,123 @@ def _counter(items: Items, share: float):
                 begins = starts[opens]
                 ends = np.r_[begins[1:], len(numbers)]
                 known = numbers >= 0
-                passage = np.repeat(np.arange(len(begins)), ends - begins)
-                pairs = np.unique(passage[known] * len(items.terms) + numbers[known])
+                passage = np.repeat(np.arange(len(begins)), ends - begins)[known]
+                numbers = numbers[known]
+                pairs = np.unique(passage * len(items.terms) + numbers)
                 seen += np.bincount(pairs % len(items.terms), minlength=len(items.terms))
                 total += len(begins)
-                key = rolling.mix(np.add.reduceat(rolling.mix(words.values), begins))
-                for p in np.flatnonzero(key < np.uint64(min(share, 1.0) * (2**64 - 2**12))):
-                    part = numbers[begins[p] : ends[p]]
-                    picked.add((int(key[p] >> np.uint64(1)), part[part >= 0].astype(np.int32).tobytes()))
-        picked = sorted(picked)
+                sizes = np.bincount(passage, minlength=len(begins))
+                first = np.r_[np.flatnonzero(np.r_[True, np.diff(text[opens]) > 0]), len(begins)]
+                at = np.r_[0, np.cumsum(sizes)][first]
+                sizes, packed = sizes.astype(np.uint8).tobytes(), numbers.astype(kind).tobytes()
+                width = np.dtype(kind).itemsize
+                yield pa.RecordBatch.from_pydict({
+                    "term": pa.array(np.full(len(first) - 1, -2, np.int32)),
+                    "n": pa.array(np.diff(first)),
+                    "passage": pa.array([sizes[p:q] + packed[width * a : width * z] for p, q, a, z in zip(first[:-1], first[1:], at[:-1], at[1:], strict=True)], pa.binary()),
+                })
         terms = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({
-            "term": pa.array([*terms.tolist(), -1, *[-2] * len(picked)], pa.int32()),
-            "n": pa.array([*seen[terms].tolist(), total, *[k for k, _ in picked]], pa.int64()),
-            "passage": pa.array([None] * (len(terms) + 1) + [p for _, p in picked], pa.binary()),
+            "term": pa.array([*terms.tolist(), -1], pa.int32()),
+            "n": pa.array([*seen[terms].tolist(), total], pa.int64()),
+            "passage": pa.array([None] * (len(terms) + 1), pa.binary()),
         })
 
     return count
 
 
-def _product(weights: np.ndarray, basis: np.ndarray):
-    """Sum over passages of row' (row basis), for TF-IDF rows of unit length times ``boost``: one packed matrix per task."""
+def _directions(terms: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The column that each term is added to and its sign: a sparse random matrix, the identity for few terms."""
+    if terms <= COLUMNS:
+        return np.arange(terms), np.ones(terms), terms
+    draw = np.random.default_rng(7)
+    return draw.integers(0, COLUMNS, terms), draw.choice([-1.0, 1.0], terms), COLUMNS
+
+
+def _some(batches: Iterator[pa.RecordBatch], passages: int) -> Iterator[list[tuple[bytes, int]]]:
+    """Packed texts with their numbers of passages, in lists of about so many passages, whatever the size of batches."""
+    some, count = [], 0
+    for batch in batches:
+        for packed, n in zip(batch.column("passage").to_pylist(), batch.column("n").to_pylist(), strict=True):
+            some.append((packed, n))
+            count += n
+            if count >= passages:
+                yield some
+                some, count = [], 0
+    if some:
+        yield some
+
+
+def _product(weights: np.ndarray, fit_passages: int):
+    """Sum over passages of row' (row directions), for TF-IDF rows of unit length: rows of a block of terms each.
+
+    Products are rounded to whole multiples of 1 / UNIT, so sums are exact in any order.
+    """
+    column, sign, width = _directions(len(weights))
+    kind = _layout(len(weights))
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, any_row, some = np.zeros(basis.shape, np.float32), False, max(16, (1 << 20) // len(weights))
-        narrow = basis.astype(np.float32)
-        for batch in batches:
-            packed, boost = batch.column("passage").to_pylist(), batch.column("boost").to_numpy()
-            for begin in range(0, len(packed), some):
-                parts = [np.frombuffer(x, np.int32) for x in packed[begin : begin + some]]
-                rows = np.zeros((len(parts), len(weights)), np.float32)
-                for row, numbers in zip(rows, parts, strict=True):
-                    np.add.at(row, numbers, 1)
-                rows *= weights.astype(np.float32)
-                rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
-                out += rows.T @ ((rows @ narrow) * boost[begin : begin + some, None].astype(np.float32))
-                any_row = True
-        if any_row:
-            yield pa.RecordBatch.from_pydict({"sums": pa.array([out.tobytes()], pa.binary())})
+        out = np.zeros(len(weights) * width)
+        for some in _some(batches, fit_passages):
+            sizes = np.frombuffer(b"".join(x[:n] for x, n in some), np.uint8).astype(np.int64)
+            numbers = np.frombuffer(b"".join(x[n:] for x, n in some), kind).astype(np.int64)
+            # Passages by falling size: the k-th terms are those of the first ones.
+            order = np.argsort(-sizes, kind="stable")
+            first, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+            at = [numbers[first[: np.searchsorted(-sizes, -k)] + k] for k in range(int(sizes[0]) if len(sizes) else 0)]
+            square = np.zeros(len(sizes))
+            for i, a in enumerate(at):
+                square[: len(a)] += weights[a] ** 2
+                for b in at[i + 1 :]:
+                    same = np.flatnonzero(a[: len(b)] == b)
+                    square[same] += 2 * weights[b[same]] ** 2
+            scale = 1 / np.sqrt(np.maximum(square, 1e-18))
+            values = [weights[a] * scale[: len(a)] for a in at]
+            rows, cols = [a * width for a in at], [column[a] for a in at]
+            signed = [v * sign[a] * UNIT for v, a in zip(values, at, strict=True)]
+            both = [(i, j, min(len(at[i]), len(at[j]))) for i in range(len(at)) for j in range(len(at))]
+            if both:
+                place = np.concatenate([rows[i][:n] + cols[j][:n] for i, j, n in both])
+                out += np.bincount(place, np.concatenate([np.rint(values[i][:n] * signed[j][:n]) for i, j, n in both]), len(out))
+        out = out.reshape(len(weights), width)
+        for block in range(0, len(weights), BLOCK_TERMS):
+            if (part := out[block : block + BLOCK_TERMS]).any():
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())})
 
     return product
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One matrix from those of FIT_PARTS tasks."""
-    total = None
+    """Blocks of one matrix from those of all tasks."""
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for packed in batch.column("sums").to_pylist():
-            part = np.frombuffer(packed, np.float32)
-            total = part.copy() if total is None else total + part
-    if total is not None:
-        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
-
-
-def latent_basis(sample: DataFrame, weights: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """terms x rank: leading right singular vectors of the sample's TF-IDF rows, by randomised subspace iteration."""
-    width = min(rank + OVERSAMPLE, len(weights))
-    basis = np.linalg.qr(np.random.default_rng(7).standard_normal((len(weights), width)))[0]
-    for _ in range(ROUNDS):
-        parts = sample.mapInArrow(_product(weights, basis), "sums binary").repartition(1)
-        moved = np.frombuffer(parts.mapInArrow(_summed, "sums binary").first()["sums"], np.float32).reshape(len(weights), -1).astype(float)
-        small = basis.T @ moved
-        turned, basis = basis, np.linalg.qr(moved)[0]
-    _, turn = np.linalg.eigh((small + small.T) / 2)
-    return (turned @ turn[:, ::-1])[:, :rank]
+        for block, packed in zip(batch.column("block").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+            part = np.frombuffer(packed)
+            total[block] = total[block] + part if block in total else part
+    for block, part in total.items():
+        yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())})
+
+
+def latent_basis(passages: DataFrame, weights: np.ndarray, own: list[np.ndarray], boost: float, rank: int = RANK, fit_passages: int = FIT_PASSAGES) -> np.ndarray:
+    """terms x rank: leading right singular vectors of the TF-IDF rows of all passages and of the items (``own``, each ``boost`` times).
+
+    The product of the rows' Gram matrix with few random directions is summed in one pass, and the matrix is taken to be what these determine.
+    """
+    column, sign, width = _directions(len(weights))
+    blocks = passages.mapInArrow(_product(weights, fit_passages), "block int, sums binary").repartition("block").mapInArrow(_summed, "block int, sums binary")
+    moved = np.zeros((len(weights), width))
+    for r in blocks.collect():  # terms x width in all
+        part = np.frombuffer(r["sums"]).reshape(-1, width) / UNIT
+        moved[r["block"] : r["block"] + len(part)] = part
+    for numbers in own:
+        terms, times = np.unique(numbers, return_counts=True)
+        row = times * weights[terms] / max(np.linalg.norm(times * weights[terms]), 1e-9)
+        moved[terms] += boost * np.outer(row, np.bincount(column[terms], row * sign[terms], width))
+    small = np.zeros((width, width))
+    np.add.at(small, column, moved * sign[:, None])
+    values, turn = np.linalg.eigh((small + small.T) / 2)
+    kept = values > 1e-9 * max(values[-1], 1e-300)
+    return np.linalg.svd(moved @ (turn[:, kept] / np.sqrt(values[kept])), full_matrices=False)[0][:, :rank]
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -192,14 +253,14 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - state.bit_count()
 
 
-def matched(item: list[int], text: list[int], begin: int, end: int) -> float:
-    """Best share of the item that a window of the text near [begin, end) holds in order; 0 when it is no match."""
+def matched(item: list[int], text: list[int], begin: int, end: int, need: Counter | None = None) -> float:
+    """Best share of the item that a window of the text near [begin, end) holds in order; 0 when it is no match. ``need``: its words, counted."""
     n = len(item)
     if n < ANSWER:
         found = any(text[i : i + n] == item for i in range(max(0, begin - n), min(len(text), end) + 1))
         return float(found)
     size, step = -(-14 * n // 10), max(1, n // 5)
-    need, tail, best = Counter(item), item[-ANSWER:], 0.0
+    need, tail, best = need or Counter(item), item[-ANSWER:], 0.0
     near = Counter(text[max(0, begin - n) : end + size])
     if sum(min(k, near[w]) for w, k in need.items()) < LIKELY * n:
         return 0.0
@@ -275,6 +336,7 @@ class Copies:
 def _finder(items: Items, weights: np.ndarray, projection: np.ndarray):
     """Per document: matched items with their shares."""
     lists = [w.tolist() for w in items.words]
+    needs = [Counter(w) for w in lists]
     segments, of = items.segments()
     queries = np.stack([projection[s].sum(axis=0) for s in segments])
     whole = np.array([np.sqrt((np.unique(s, return_counts=True)[1] ** 2 * weights[np.unique(s)] ** 2).sum()) for s in segments])
@@ -286,6 +348,9 @@ def _finder(items: Items, weights: np.ndarray, projection: np.ndarray):
     copies = Copies(items)
     squares = (weights**2).astype(np.float32)
     vectors = np.vstack([projection, np.zeros((1, projection.shape[1]), np.float32)])
+    # With few terms and items the scores of each term are summed by block, else the latent vectors.
+    narrow = len(vectors) * len(queries) <= TABLE
+    tables = [vectors @ queries[mine].T for mine in (short, long)] if narrow else [vectors]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,24 +362,26 @@ def _finder(items: Items, weights: np.ndarray, projection: np.ndarray):
                     found[begin + doc][c] = 1.0
                 # Sums of latent vectors by block; unknown words add nothing.
                 known = np.flatnonzero(numbers >= 0)
-                block = np.searchsorted(starts, known, side="right") - 1
+                block = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(numbers)]))[known]
                 placed = np.full((len(starts), BLOCK), len(weights))
                 placed[block, known - starts[block]] = numbers[known]
-                sums = np.zeros((len(starts) + 4, projection.shape[1]), np.float32)
+                sums = [np.zeros((len(starts) + 4, x.shape[1]), np.float32) for x in tables]
                 for column in placed.T:
-                    sums[:-4] += vectors[column]
+                    for x, out in zip(tables, sums, strict=True):
+                        out[:-4] += x[column]
                 length = np.bincount(block, squares[numbers[known]], len(starts) + 4)[:, None]
                 same = lambda k: (text == np.r_[text[k:], np.full(k, -1)])[:, None]
                 pair = lambda x: x[:-4] + x[1:-3] * same(1)
                 quad = lambda x: pair(x)[::2] + x[2:-2][::2] * same(2)[::2] + x[3:-1][::2] * same(3)[::2]
                 seen: dict[int, list[int]] = {}
-                for joined, mine, stride, width in ((pair, short, 1, 2), (quad, long, 2, 4)):
+                for joined, mine, stride, width, part in ((pair, short, 1, 2, sums[0]), (quad, long, 2, 4, sums[-1])):
                     picked = np.flatnonzero(mine)
                     if not len(picked):
                         continue
-                    scaled = joined(sums) / np.sqrt(np.maximum(joined(length), 1e-9)).astype(np.float32)
+                    scaled = joined(part) / np.sqrt(np.maximum(joined(length), 1e-9)).astype(np.float32)
                     for first in range(0, len(scaled), 4096):
-                        rows, cols = np.nonzero(scaled[first : first + 4096] @ queries[picked].T >= COSINE)
+                        some = scaled[first : first + 4096]
+                        rows, cols = np.nonzero((some if narrow else some @ queries[picked].T) >= COSINE)
                         for r, c in zip((rows + first).tolist(), of[picked[cols]].tolist(), strict=True):
                             b = r * stride
                             doc = int(text[b])
@@ -323,7 +390,7 @@ def _finder(items: Items, weights: np.ndarray, projection: np.ndarray):
                             if doc not in seen:
                                 seen = {doc: words.values[words.offsets[doc] : words.offsets[doc + 1]].tolist()}
                             at = int(starts[b] - words.offsets[doc])
-                            share = matched(lists[c], seen[doc], at, at + width * BLOCK)
+                            share = matched(lists[c], seen[doc], at, at + width * BLOCK, needs[c])
                             if share > found[begin + doc].get(c, 0):
                                 found[begin + doc][c] = share
             hits = [[{"item_id": items.ids[c], "share": s} for c, s in sorted(f.items())] for f in found]
@@ -335,28 +402,21 @@ def _finder(items: Items, weights: np.ndarray, projection: np.ndarray):
 
 def _prepared(docs: DataFrame, items: Items, fit_passages: int):
     """Statistics, latent space and the finder for one block of items."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    share = fit_passages / max(1.0, total / 7 / (2 * BLOCK))
-    counted = docs.select("text").mapInArrow(_counter(items, share), "term int, n long, passage binary")
-    counted = counted.groupBy("term", F.when(F.col("term") == -2, F.col("n")).alias("key"), "passage").agg(F.sum(F.when(F.col("term") > -2, F.col("n"))).alias("n"))
-    counted = counted.persist()
-    try:
-        rows = counted.where("term > -2").select("term", "n").collect()  # a row per term of this block of items
-        sample = counted.where("term = -2").orderBy("key", "passage").limit(fit_passages).select("passage", F.lit(1.0).alias("boost"))
-        own = [(bytearray(w.astype(np.int32).tobytes()), fit_passages / len(items.ids)) for w in items.segments()[0]]
-        sample = sample.union(docs.sparkSession.createDataFrame(own, "passage binary, boost double"))
+    counting = docs.select("text").mapInArrow(_counter(items), "term int, n long, passage binary")
+    with kept(counting, "passages") as counted:
+        # A row per term of this block of items.
+        rows = counted.where("term > -2").groupBy("term").agg(F.sum("n").alias("n")).collect()
         seen = np.zeros(len(items.terms))
-        passages = 1
+        passages = 0
         for r in rows:
             if r["term"] < 0:
                 passages = r["n"]
             else:
                 seen[r["term"]] = r["n"]
         weights = np.log((passages + 1) / (seen + 1)) + 0.1
-        projection = (weights[:, None] * latent_basis(sample.repartition(FIT_PARTS), weights)).astype(np.float32)
-    finally:
-        counted.unpersist()
-    return _finder(items, weights, projection)
+        found = counted.where("term = -2").select("n", "passage")
+        basis = latent_basis(found, weights, items.segments()[0], max(passages, 1) / len(items.ids), fit_passages=fit_passages)
+    return _finder(items, weights, (weights[:, None] * basis).astype(np.float32))
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, fit_passages: int = FIT_PASSAGES, block_items: int = BLOCK_ITEMS) -> DataFrame:

@@ -190,3 +190,39 @@ def test_fit_climbs_the_plain_likelihood():
     assert np.allclose(model.weights[:13], weights, atol=2e-3) and not model.weights[13:].any()
     assert np.allclose(model.thresholds, cuts, atol=2e-3) and model.thresholds[0] < model.thresholds[1]
     assert likelihood(model.weights[:13], model.thresholds) > likelihood([0.0] * 13, model.thresholds) + 0.1
+
+
+def test_latent_space_is_fitted_on_every_passage(spark, prose):
+    docs = [(i, " ".join(prose(50 + 3 * i))) for i in range(80)] + [(80, None), (81, "")]
+    items = decontaminate.Items.of([{"item_id": k, "text": " ".join(prose(30))} for k in range(8)])
+    terms, own = len(items.terms), items.segments()[0]
+    weights = np.linspace(0.5, 2, terms)
+
+    def basis(df, step):
+        counted = df.select("text").mapInArrow(decontaminate._counter(items), "term int, n long, passage binary")
+        return decontaminate.latent_basis(counted.where("term = -2").select("n", "passage"), weights, own, 3.0, rank=20, fit_passages=step)
+
+    one, many = basis(frame(spark, docs).coalesce(1), 10_000), basis(frame(spark, docs[::-1]).repartition(5), 7)
+    assert np.array_equal(one, many)
+    gram = np.zeros((terms, terms))
+    passages = [(1.0, w[k : k + 24]) for _, t in docs if t for w in [t.split()] for k in range(0, len(w), 24)]
+    numbers = [(b, decontaminate.term_numbers(decontaminate.rolling.words([" ".join(w).encode()], fold=True, plain=True).values, items.terms)) for b, w in passages]
+    for times, row in [*numbers, *[(3.0, x) for x in own]]:
+        v = np.bincount(row[row >= 0], minlength=terms) * weights
+        gram += times * np.outer(v, v) / max(v @ v, 1e-18)
+    assert terms <= decontaminate.COLUMNS and len(passages) > 400
+    want = np.linalg.eigvalsh(gram)[::-1][:20]
+    assert np.allclose(np.linalg.eigvalsh(one.T @ gram @ one)[::-1], want, rtol=1e-3)
+
+
+def test_latent_space_of_many_terms(spark, monkeypatch):
+    """Sparse directions keep nearly all that the best ones of that rank do."""
+    rng = np.random.default_rng(4)
+    rows = [np.sort(rng.choice(np.arange(300)[k % 12 :: 12], 12)) for k in range(500)]
+    packed = [(1, bytes([12]) + r.astype("<u2").tobytes()) for r in rows]
+    frame_of = lambda: spark.createDataFrame(packed, "n long, passage binary")
+    full = decontaminate.latent_basis(frame_of(), np.ones(300), [], 1.0, rank=12)
+    gram = sum(np.outer(v, v) / (v @ v) for v in (np.bincount(r, minlength=300) for r in rows))
+    monkeypatch.setattr(decontaminate, "COLUMNS", 60)
+    held = lambda b: np.trace(b.T @ gram @ b)
+    assert held(decontaminate.latent_basis(frame_of(), np.ones(300), [], 1.0, rank=12)) > 0.9 * held(full)
