@@ -288,6 +288,15 @@ def seat_contexts(context: np.ndarray, whole: np.ndarray, customers: np.ndarray,
     return mean, tables
 
 
+def _numbers_of(word: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """The number of each (word, part) among the sorted distinct ones."""
+    order = np.lexsort((part, word))
+    w, p = word[order], part[order]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(np.r_[False, (w[1:] != w[:-1]) | (p[1:] != p[:-1])])
+    return out
+
+
 class Bucket:
     """The pairs of a context bucket: parts of contexts, and the distinct dishes of each with their training customers."""
 
@@ -299,8 +308,7 @@ class Bucket:
             self.bodies.append([*[_unplaned(more[4 * k * i : 4 * k * (i + 1)], k).astype(np.int64) for i in range(3)], np.frombuffer(more, np.uint8, k, 12 * k)])
         ub, un, part, runs, total = (np.concatenate(x) for x in zip(*self.heads, strict=True))
         wb, wn, times, frequency = (np.concatenate(x) for x in zip(*self.bodies, strict=True))
-        _, context = np.unique(np.stack([(ub << 32) | un, part]), axis=1, return_inverse=True)
-        self.context = context = context.reshape(-1)
+        self.context = context = _numbers_of((ub << 32) | un, part)
         self.size = size = int(context.max()) + 1
         self.total, self.word, names = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.uint64)
         self.total[context] = total
@@ -410,9 +418,10 @@ def _seat_words(table: pa.Table, tables: pa.Table) -> pa.Table:
         k = len(keys) // 4
         word = _unplaned(keys, k).astype(np.int64) - 1
         if kind == TABLES_ON:
-            np.add.at(customers, word, _unplaned(more, k).astype(np.int64))
+            # A message names a word once.
+            customers[word] += _unplaned(more, k).astype(np.int64)
         else:
-            np.add.at(below, word, _unplaned(more, k, "<f4").astype(float))
+            below[word] += _unplaned(more, k, "<f4").astype(float)
     customers = customers[:size]
     mean, t = np.zeros(size), np.minimum(customers, 1).astype(float)
     for sweep in range(BURN + SAMPLES):

@@ -222,3 +222,11 @@ def test_many_chunks_and_buckets_score_like_the_plain_sampler(spark, rows):
     got = scores(spark, rows, chunk_bytes=300, bucket_bytes=150, hot=5)
     gaps = [(got[i].score - score(text)) / got[i].n_tokens for i, text, _ in rows]
     assert abs(np.mean(gaps)) < 0.01 and np.mean(np.abs(gaps)) < 0.04, (np.mean(gaps), np.mean(np.abs(gaps)))
+
+
+def test_contexts_are_numbered_as_sorted_pairs():
+    rng = np.random.default_rng(5)
+    word, part = rng.integers(0, 40, 3000) << 31, rng.integers(0, 5, 3000)
+    want = np.unique(np.stack([word, part]), axis=1, return_inverse=True)[1].reshape(-1)
+    assert np.array_equal(pitmanyor._numbers_of(word, part), want)
+    assert pitmanyor._numbers_of(word[:1], part[:1]).tolist() == [0]
