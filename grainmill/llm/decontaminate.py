@@ -372,9 +372,12 @@ def _finder(items: Items, weights: np.ndarray, projection: np.ndarray):
                 length = np.bincount(block, squares[numbers[known]], len(starts) + 4)[:, None]
                 same = lambda k: (text == np.r_[text[k:], np.full(k, -1)])[:, None]
                 pair = lambda x: x[:-4] + x[1:-3] * same(1)
-                quad = lambda x: pair(x)[::2] + x[2:-2][::2] * same(2)[::2] + x[3:-1][::2] * same(3)[::2]
+                # Every other block of each text, so a text's passages do not depend on its neighbours.
+                every = np.arange(len(text))
+                even = every[(every - np.searchsorted(text, text)) % 2 == 0]
+                quad = lambda x: x[even] + x[even + 1] * same(1)[even] + x[even + 2] * same(2)[even] + x[even + 3] * same(3)[even]
                 seen: dict[int, list[int]] = {}
-                for joined, mine, stride, width, part in ((pair, short, 1, 2, sums[0]), (quad, long, 2, 4, sums[-1])):
+                for joined, mine, opens, width, part in ((pair, short, every, 2, sums[0]), (quad, long, even, 4, sums[-1])):
                     picked = np.flatnonzero(mine)
                     if not len(picked):
                         continue
@@ -382,8 +385,7 @@ def _finder(items: Items, weights: np.ndarray, projection: np.ndarray):
                     for first in range(0, len(scaled), 4096):
                         some = scaled[first : first + 4096]
                         rows, cols = np.nonzero((some if narrow else some @ queries[picked].T) >= COSINE)
-                        for r, c in zip((rows + first).tolist(), of[picked[cols]].tolist(), strict=True):
-                            b = r * stride
+                        for b, c in zip(opens[rows + first].tolist(), of[picked[cols]].tolist(), strict=True):
                             doc = int(text[b])
                             if found[begin + doc].get(c, 0) >= 1:
                                 continue
